@@ -151,7 +151,8 @@ def spans_digest(found: DataFrame, id_col: str = "doc_id") -> DataFrame:
         return F.array_join(F.transform(spans, lambda s: F.concat_ws(":", F.element_at(names, s["kind"] + 1), s["start"], s["end"])), ",")
 
     base = F.filter("spans", lambda s: s["kind"] < 3)
-    n = [F.size(F.filter("spans", lambda s, i=i: s["kind"] == i)).cast("long").alias(f"n_{k}") for i, k in enumerate(KINDS)]
+    kinds = F.transform("spans", lambda s: s["kind"])
+    n = [(F.size(kinds) - F.size(F.array_remove(kinds, i))).cast("long").alias(f"n_{k}") for i, k in enumerate(KINDS)]
     return found.select(id_col, *n, F.sha2(joined(base), 256).alias("base_sha256"), joined(F.col("spans")).alias("spans"))
 
 
