@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from .line_dedup import drop_boilerplate
 from .mixing import mix_to_targets
+from .quality import label_grade, select_quality
 from .secrets import find_secrets, spans_digest
 from .topk import exact_top_k
 
@@ -23,6 +24,11 @@ def op4_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_top_k(_read(spark, sf_dir, "embeddings"), F.col("vec_id") % 50 == 0)
 
 
+def op5_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = select_quality(_read(spark, sf_dir, "documents"), _read(spark, sf_dir, "labels"), label_grade())
+    return found.select("doc_id", "expected_grade", "p_best")
+
+
 def op8_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return drop_boilerplate(_read(spark, sf_dir, "documents")).select("doc_id", "source", "text", "n_lines", "n_removed")
 
@@ -31,7 +37,7 @@ def op9_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mix_to_targets(_read(spark, sf_dir, "documents"))
 
 
-QUERIES = {f.__name__: f for f in (op2_secrets, op4_topk, op8_line_dedup, op9_mixing)}
+QUERIES = {f.__name__: f for f in (op2_secrets, op4_topk, op5_quality, op8_line_dedup, op9_mixing)}
 
 OP4_SQL = """
 WITH v AS (
