@@ -9,6 +9,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import DoubleType, StructField, StructType
 
 from .common import small_batches
 from .words import mix, text_bytes, words_of_bytes
@@ -177,7 +178,7 @@ def score_quality(docs: DataFrame, model: OrdinalModel, text_col: str = "text")
             expected = m.grades[0] + (p * np.diff(m.grades)[None, :]).sum(1)
             yield pa.RecordBatch.from_arrays([*b.columns, pa.array(expected), pa.array(p[:, -1])], [*b.schema.names, "expected_grade", "p_best"])
 
-    return docs.mapInArrow(score, docs.schema.add("expected_grade", "double").add("p_best", "double"))
+    return docs.mapInArrow(score, StructType([*docs.schema.fields, StructField("expected_grade", DoubleType()), StructField("p_best", DoubleType())]))
 
 
 def select_quality(docs: DataFrame, ratings: DataFrame, grade: Column, least: float = 0.5, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
