@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from .jaccard import jaccard_groups
 from .line_dedup import drop_boilerplate
 from .mixing import mix_to_targets
 from .quality import label_grade, select_quality
@@ -20,6 +21,10 @@ def op2_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spans_digest(find_secrets(_read(spark, sf_dir, "documents")))
 
 
+def op3_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard_groups(_read(spark, sf_dir, "documents"))
+
+
 def op4_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_top_k(_read(spark, sf_dir, "embeddings"), F.col("vec_id") % 50 == 0)
 
@@ -37,7 +42,7 @@ def op9_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mix_to_targets(_read(spark, sf_dir, "documents"))
 
 
-QUERIES = {f.__name__: f for f in (op2_secrets, op4_topk, op5_quality, op8_line_dedup, op9_mixing)}
+QUERIES = {f.__name__: f for f in (op2_secrets, op3_jaccard, op4_topk, op5_quality, op8_line_dedup, op9_mixing)}
 
 OP4_SQL = """
 WITH v AS (
