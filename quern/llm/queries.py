@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from .decontaminate import mark_leaks
 from .jaccard import jaccard_groups
 from .line_dedup import drop_boilerplate
 from .mixing import mix_to_targets
@@ -34,6 +35,11 @@ def op5_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", "expected_grade", "p_best")
 
 
+def op6_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    marked = mark_leaks(_read(spark, sf_dir, "documents"), _read(spark, sf_dir, "benchmark"))
+    return marked.select("doc_id", F.inline("leaks"))
+
+
 def op8_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return drop_boilerplate(_read(spark, sf_dir, "documents")).select("doc_id", "source", "text", "n_lines", "n_removed")
 
@@ -42,7 +48,7 @@ def op9_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mix_to_targets(_read(spark, sf_dir, "documents"))
 
 
-QUERIES = {f.__name__: f for f in (op2_secrets, op3_jaccard, op4_topk, op5_quality, op8_line_dedup, op9_mixing)}
+QUERIES = {f.__name__: f for f in (op2_secrets, op3_jaccard, op4_topk, op5_quality, op6_decontaminate, op8_line_dedup, op9_mixing)}
 
 OP4_SQL = """
 WITH v AS (
