@@ -137,7 +137,7 @@ def tails(model: OrdinalModel, ids: np.ndarray, cuts: np.ndarray) -> np.ndarray:
     return 1 - _sigmoid(model.thresholds[None, :] - _row_sums(model.weights[ids], cuts)[:, None])
 
 
-def train(docs: DataFrame, ratings: DataFrame, grade: Column, max_rows: int = 12_000, dim: int = 1 << 18, l2: float = 0.5, id_col: str = "doc_id", text_col: str = "text") -> OrdinalModel:
+def train(docs: DataFrame, ratings: DataFrame, grade: Column, max_rows: int = 8_000, dim: int = 1 << 18, l2: float = 0.5, id_col: str = "doc_id", text_col: str = "text") -> OrdinalModel:
     """Fit on at most max_rows rated documents, the first by a hash of the id; features are computed on the executors.
 
     The bound on the sample is max_rows; ids and grades of the sample are broadcast, and its feature ids come to the driver.
@@ -149,11 +149,11 @@ def train(docs: DataFrame, ratings: DataFrame, grade: Column, max_rows: int = 12
     def extract(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             ids, cuts = features(b.column("t"), dim)
-            yield pa.RecordBatch.from_arrays([b.column("id").cast(pa.int64()), b.column("grade"), pa.ListArray.from_arrays(pa.array(cuts, pa.int32()), pa.array(ids, pa.int32()))], ["id", "grade", "ids"])
+            yield pa.RecordBatch.from_arrays([b.column("id").cast(pa.int64()), b.column("grade"), pa.array([ids[i:j].tobytes() for i, j in zip(cuts[:-1], cuts[1:])], pa.binary())], ["id", "grade", "ids"])
 
-    rows = sorted(rated.mapInArrow(extract, "id long, grade int, ids array<int>").collect(), key=lambda r: (r[0], r[1], r[2]))[:max_rows]
-    cuts = np.concatenate([[0], np.cumsum([len(r[2]) for r in rows])]).astype(np.int64)
-    ids = np.array([i for r in rows for i in r[2]], dtype=np.int32)
+    rows = sorted(rated.mapInArrow(extract, "id long, grade int, ids binary").collect(), key=lambda r: (r[0], r[1], r[2]))[:max_rows]
+    cuts = np.concatenate([[0], np.cumsum([len(r[2]) // 4 for r in rows])]).astype(np.int64)
+    ids = np.frombuffer(b"".join(r[2] for r in rows), dtype=np.int32)
     return fit_ordinal(ids, cuts, np.array([r[1] for r in rows], dtype=np.int64), dim, l2)
 
 
