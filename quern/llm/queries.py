@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .decontaminate import mark_leaks
+from .exact_substrings import remove_repeats
 from .jaccard import jaccard_groups
 from .line_dedup import drop_boilerplate
 from .mixing import mix_to_targets
@@ -48,7 +49,12 @@ def op9_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mix_to_targets(_read(spark, sf_dir, "documents"))
 
 
-QUERIES = {f.__name__: f for f in (op2_secrets, op3_jaccard, op4_topk, op5_quality, op6_decontaminate, op8_line_dedup, op9_mixing)}
+def op10_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = remove_repeats(_read(spark, sf_dir, "documents"))
+    return found.select("doc_id", "n_bytes", "n_removed", F.size("spans").cast("long").alias("n_spans"), "kept_sha256")
+
+
+QUERIES = {f.__name__: f for f in (op2_secrets, op3_jaccard, op4_topk, op5_quality, op6_decontaminate, op8_line_dedup, op9_mixing, op10_suffix_dedup)}
 
 OP4_SQL = """
 WITH v AS (
