@@ -173,7 +173,7 @@ def answers_of_shard(pdf: pd.DataFrame, length: int) -> pd.DataFrame:
 
 
 def remove_repeats(
-    docs: DataFrame, length: int = 50, chunk_bytes: int = 4 << 20, shard_bytes: int = 12 << 20, id_col: str = "doc_id", text_col: str = "text"
+    docs: DataFrame, length: int = 50, chunk_bytes: int = 1 << 20, shard_bytes: int = 12 << 20, id_col: str = "doc_id", text_col: str = "text"
 ) -> DataFrame:
     """One row per document: id_col, n_bytes, n_removed, spans array<struct<start, end>> (bytes, end exclusive), kept_sha256.
 
