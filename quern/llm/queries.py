@@ -10,6 +10,7 @@ from .exact_substrings import remove_repeats
 from .jaccard import jaccard_groups
 from .line_dedup import drop_boilerplate
 from .mixing import mix_to_targets
+from .pii import replace_pii
 from .quality import label_grade, select_quality
 from .secrets import find_secrets, spans_digest
 from .topk import exact_top_k
@@ -41,6 +42,10 @@ def op6_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     return marked.select("doc_id", F.inline("leaks"))
 
 
+def op7_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return replace_pii(_read(spark, sf_dir, "documents"), "quern").select("doc_id", "text", "n_replaced")
+
+
 def op8_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return drop_boilerplate(_read(spark, sf_dir, "documents")).select("doc_id", "source", "text", "n_lines", "n_removed")
 
@@ -54,7 +59,7 @@ def op10_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", "n_bytes", "n_removed", F.size("spans").cast("long").alias("n_spans"), "kept_sha256")
 
 
-QUERIES = {f.__name__: f for f in (op2_secrets, op3_jaccard, op4_topk, op5_quality, op6_decontaminate, op8_line_dedup, op9_mixing, op10_suffix_dedup)}
+QUERIES = {f.__name__: f for f in (op2_secrets, op3_jaccard, op4_topk, op5_quality, op6_decontaminate, op7_pii, op8_line_dedup, op9_mixing, op10_suffix_dedup)}
 
 OP4_SQL = """
 WITH v AS (
