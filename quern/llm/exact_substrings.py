@@ -18,7 +18,7 @@ from .words import mix, text_bytes
 
 #: Bytes of the grams whose least hash anchors a window.
 GRAM = 16
-_SLICE = 1 << 21
+_SLICE = 1 << 16
 _A, _B = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xC2B2AE3D27D4EB4F)
 
 
@@ -122,22 +122,43 @@ def distinct_segments(seg: dict[str, np.ndarray], ids: np.ndarray, often: np.nda
     return order, first, ids[seg["text"][order[first]]]
 
 
-def smallest_ids(content: np.ndarray, data: np.ndarray, counts: np.ndarray, ids: np.ndarray, length: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-    """For segments (content hash, bytes one after the other, windows, smallest id): the smallest id of any segment that holds each window.
+def smallest_ids(content: np.ndarray, anchors: np.ndarray, data: np.ndarray, counts: np.ndarray, ids: np.ndarray, length: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """For segments (content hash, anchor, bytes one after the other, windows, smallest id): the smallest id of any segment that holds each window.
 
-    Distinct contents are joined to one string, separated, whose suffix array brings equal windows together: neighbours share
-    `length` bytes by the permuted common prefixes. Returns each segment's place among the distinct ones, and for those runs of
-    windows with the same answer: (runs before each), first windows, ids.
+    Returns each segment's place among the distinct ones, and for those runs of windows with the same answer: (runs before
+    each), first windows, ids. Where all segments of an anchor have one content, its windows occur nowhere else.
     """
     lens = counts + length - 1
     begins = np.cumsum(lens) - lens
     _, first, place = np.unique(content, return_index=True, return_inverse=True)
     least = np.full(len(first), np.iinfo(np.int64).max)
     np.minimum.at(least, place, ids)
-    n_windows, size = counts[first], lens[first]
+    _, of, variants = np.unique(anchors[first], return_inverse=True, return_counts=True)
+    mixed = np.flatnonzero(variants[of] > 1)
+    n_runs = np.ones(len(first), dtype=np.int64)
+    if len(mixed):
+        own = first[mixed]
+        joined = data[_slices(begins[own], lens[own])]
+        before, windows, best = sorted_windows(joined, counts[own], least[mixed], length)
+        n_runs[mixed] = np.diff(before)
+    all_before = np.concatenate([[0], np.cumsum(n_runs)])
+    all_windows, all_best = np.zeros(all_before[-1], dtype=np.int64), np.repeat(least, n_runs)
+    if len(mixed):
+        at = _slices(all_before[mixed], n_runs[mixed])
+        all_windows[at], all_best[at] = windows, best
+    return place, all_before, all_windows, all_best
+
+
+def sorted_windows(data: np.ndarray, n_windows: np.ndarray, least: np.ndarray, length: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Runs (before each segment, first windows, ids) of distinct segments: the smallest id of the segments that hold each window.
+
+    The segments are joined to one string, separated, whose suffix array brings equal windows together: neighbours share
+    `length` bytes by the permuted common prefixes.
+    """
+    size = n_windows + length - 1
     starts = np.cumsum(size + 1) - size - 1
-    s = np.zeros(int(size.sum()) + len(size) + 1, dtype=np.int64)
-    s[_slices(starts, size)] = data[_slices(begins[first], size)].astype(np.int64) + 2
+    s = np.zeros(int(size.sum()) + len(size) + 1, dtype=np.int32)
+    s[_slices(starts, size)] = data.astype(np.int32) + 2
     s[starts + size] = 1
     windows = _slices(starts, n_windows)
     is_window = np.zeros(len(s), dtype=bool)
@@ -146,7 +167,7 @@ def smallest_ids(content: np.ndarray, data: np.ndarray, counts: np.ndarray, ids:
     order = order[is_window[order]]
     shared = permuted_common_prefixes(s, order, length)
     group = np.flatnonzero(np.concatenate([[True], shared < length]))
-    owner = np.repeat(np.arange(len(first)), n_windows)
+    owner = np.repeat(np.arange(len(size)), n_windows)
     at = np.zeros(len(s), dtype=np.int64)
     at[windows] = np.arange(len(windows))
     best = np.minimum.reduceat(least[owner[at[order]]], group)
@@ -156,13 +177,13 @@ def smallest_ids(content: np.ndarray, data: np.ndarray, counts: np.ndarray, ids:
     new = np.concatenate([[True], answer[1:] != answer[:-1]])
     new[window_begins] = True
     runs = np.flatnonzero(new)
-    return place, np.concatenate([np.searchsorted(runs, window_begins), [len(runs)]]), runs - window_begins[owner[runs]], answer[runs]
+    return np.concatenate([np.searchsorted(runs, window_begins), [len(runs)]]), runs - window_begins[owner[runs]], answer[runs]
 
 
 def answers_of_shard(pdf: pd.DataFrame, length: int) -> pd.DataFrame:
     cuts = np.cumsum([len(c) // 8 for c in pdf["content"]])[:-1]
-    content, counts, ids = (np.frombuffer(b"".join(pdf[c]), dtype=t) for c, t in (("content", "<u8"), ("counts", "<i8"), ("ids", "<i8")))
-    place, before, windows, best = smallest_ids(content, np.frombuffer(b"".join(pdf["bytes"]), dtype=np.uint8), counts, ids, length)
+    content, anchors, counts, ids = (np.frombuffer(b"".join(pdf[c]), dtype=t) for c, t in (("content", "<u8"), ("anchors", "<u8"), ("counts", "<i8"), ("ids", "<i8")))
+    place, before, windows, best = smallest_ids(content, anchors, np.frombuffer(b"".join(pdf["bytes"]), dtype=np.uint8), counts, ids, length)
     out = []
     for own in np.split(place, cuts):
         n = before[own + 1] - before[own]
@@ -173,7 +194,7 @@ def answers_of_shard(pdf: pd.DataFrame, length: int) -> pd.DataFrame:
 
 
 def remove_repeats(
-    docs: DataFrame, length: int = 50, chunk_bytes: int = 1 << 20, shard_bytes: int = 12 << 20, id_col: str = "doc_id", text_col: str = "text"
+    docs: DataFrame, length: int = 50, chunk_bytes: int = 1 << 20, shard_bytes: int = 4 << 20, id_col: str = "doc_id", text_col: str = "text"
 ) -> DataFrame:
     """One row per document: id_col, n_bytes, n_removed, spans array<struct<start, end>> (bytes, end exclusive), kept_sha256.
 
@@ -185,7 +206,7 @@ def remove_repeats(
        anchors occur under another id; only segments of such anchors can repeat.
     3. The distinct ones of those segments go to their anchor's shard. There a suffix array (induced sorting) and permuted
        common prefixes find, for every window, the smallest id that holds it. Equal windows have equal anchors, so no shard
-       needs another.
+       needs another. An anchor whose segments all have one content needs no sorting.
     4. Each chunk gets its answers as runs and cuts its texts.
 
     A chunk sends a string once, however many of its documents hold it, so a passage of a third of all documents weighs as
@@ -269,11 +290,11 @@ def remove_repeats(
                 for k in np.flatnonzero(np.diff(cuts)):
                     own = mine[cuts[k] : cuts[k + 1]]
                     lens = seg["count"][own] + length - 1
-                    blobs = [seg["content"][own].astype("<u8").tobytes(), seg["count"][own].astype("<i8").tobytes(), least[cuts[k] : cuts[k + 1]].astype("<i8").tobytes(), data[_slices(seg["start"][own], lens)].tobytes()]
-                    yield pa.RecordBatch.from_arrays([pa.array([number]), pa.array([int(k)]), *[pa.array([b], pa.binary()) for b in blobs]], ["chunk", "shard", "content", "counts", "ids", "bytes"])
+                    blobs = [seg["content"][own].astype("<u8").tobytes(), seg["anchor"][own].astype("<u8").tobytes(), seg["count"][own].astype("<i8").tobytes(), least[cuts[k] : cuts[k + 1]].astype("<i8").tobytes(), data[_slices(seg["start"][own], lens)].tobytes()]
+                    yield pa.RecordBatch.from_arrays([pa.array([number]), pa.array([int(k)]), *[pa.array([b], pa.binary()) for b in blobs]], ["chunk", "shard", "content", "anchors", "counts", "ids", "bytes"])
 
     flagged = chunks.join(often, "chunk", "left")
-    sent = flagged.mapInArrow(send_segments, "chunk long, shard long, content binary, counts binary, ids binary, bytes binary")
+    sent = flagged.mapInArrow(send_segments, "chunk long, shard long, content binary, anchors binary, counts binary, ids binary, bytes binary")
     answers = settle(sent.groupBy("shard").applyInPandas(lambda pdf: answers_of_shard(pdf, length), "chunk long, shard long, n_runs binary, windows binary, best binary"), "answers")
     answers = answers.groupBy("chunk").agg(F.sort_array(F.collect_list(F.struct("shard", "n_runs", "windows", "best"))).alias("answers")).hint("shuffle_hash")
 
