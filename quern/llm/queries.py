@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from .decontaminate import mark_leaks
 from .exact_substrings import remove_repeats
 from .jaccard import jaccard_groups
+from .language import fuse, page_evidence, train_text
 from .line_dedup import drop_boilerplate
 from .mixing import mix_to_targets
 from .pii import replace_pii
@@ -20,6 +21,15 @@ def _read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{table}.parquet")
 
 
+def op1_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Languages of all documents (host: their source) and of all pages, which fill doc_id and page_id respectively."""
+    docs = _read(spark, sf_dir, "documents")
+    none = F.lit(None).cast("string")
+    texts = docs.select("doc_id", F.lit(None).cast("long").alias("page_id"), "text", none.alias("declared"), none.alias("suffix"), F.col("source").alias("host"), none.alias("domain"))
+    pages = page_evidence(_read(spark, sf_dir, "pages")).withColumn("doc_id", F.lit(None).cast("long"))
+    return fuse(texts.unionByName(pages), train_text(docs), ["doc_id", "page_id"])
+
+
 def op2_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spans_digest(find_secrets(_read(spark, sf_dir, "documents")))
 
@@ -59,7 +69,7 @@ def op10_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", "n_bytes", "n_removed", F.size("spans").cast("long").alias("n_spans"), "kept_sha256")
 
 
-QUERIES = {f.__name__: f for f in (op2_secrets, op3_jaccard, op4_topk, op5_quality, op6_decontaminate, op7_pii, op8_line_dedup, op9_mixing, op10_suffix_dedup)}
+QUERIES = {f.__name__: f for f in (op1_language, op2_secrets, op3_jaccard, op4_topk, op5_quality, op6_decontaminate, op7_pii, op8_line_dedup, op9_mixing, op10_suffix_dedup)}
 
 OP4_SQL = """
 WITH v AS (
