@@ -11,7 +11,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import checked_broadcast, settle, small_batches
+from .common import P, checked_broadcast, settle, small_batches
 from .components import components
 from .words import mix, shingles, words
 
@@ -180,7 +180,8 @@ def jaccard_groups(
 _NONE = np.zeros(0, dtype=np.int64)
 
 
-def keep_one(docs: DataFrame, groups: DataFrame, id_col: str = "doc_id") -> DataFrame:
-    """docs without the members of a near-duplicate group other than its smallest id; rows that repeat that id all stay."""
-    gone = groups.filter(F.col("class_id") != F.col(id_col)).select(F.col(id_col).alias("__q_id")).distinct()
-    return docs.join(gone, docs[id_col] == gone["__q_id"], "left_anti")
+def keep_one(docs: DataFrame, broadcast_rows: int = 1_000_000, id_col: str = "doc_id", **options) -> DataFrame:
+    """docs with one document of each group of `jaccard_groups`, that with the smallest id; rows that repeat that id all stay."""
+    groups = jaccard_groups(docs, id_col=id_col, **options)
+    gone = settle(groups.filter(F.col("class_id") != F.col(id_col)).select(F.col(id_col).alias(P + "id")).distinct(), "copies")
+    return docs.join(checked_broadcast(gone, broadcast_rows), docs[id_col] == gone[P + "id"], "left_anti")

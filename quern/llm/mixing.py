@@ -7,7 +7,7 @@ import pandas as pd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import key_of, settle
+from .common import P, checked_broadcast, key_of, settle
 
 WORD = r"[^\x20\x09-\x0D]+"
 
@@ -78,21 +78,11 @@ def fit_counts(lengths: np.ndarray, counts: np.ndarray, target: float, max_repea
     return base, extra
 
 
-def mix_to_targets(
+def _mix(
     docs: DataFrame, weights: tuple[float, ...] = (5, 2, 1), share: float = 1.5, max_repeat: int = 2, seed: int = 3407, dp_budget: int = 20_000,
     bucket_rows: int = 256, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source",
 ) -> DataFrame:
-    """How many words of each document the mix takes: columns id_col, source_col, size, source_size, target, taken.
-
-    Counts documents by exact length in words, fits each source's target by `fit_counts`, and takes in each (source, length)
-    the documents with the smallest seeded hash. Every document is taken a whole number of times, max_repeat at most.
-
-    A group of documents of one source and length may be of any size: it is dealt by hash into buckets of about bucket_rows,
-    and ranks are a bucket's offset, from counts alone, plus the rank inside the bucket. Text is read once and never shuffled.
-
-    Null text has size 0 and is taken 0 times; null sources form a source; null ids are ordinary; rows with the same id are
-    separate documents; an empty table gives no rows; other columns are left out.
-    """
+    """As `mix_to_targets`, with columns id, source, h (hash of id and text) and times."""
     text = F.col(text_col)
     sized = settle(
         docs.select(
@@ -118,8 +108,35 @@ def mix_to_targets(
     rank = F.col("before") + F.row_number().over(Window.partitionBy("key", "size", "bucket").orderBy("h", "id"))
     times = F.coalesce(F.col("base") + (rank <= F.col("extra")).cast("long"), F.lit(0))
     rows = rows.withColumn("taken", times * F.col("size"))
-    out = rows.join(targets.select("key", "source_size", "target"), "key")
+    return rows.withColumn("times", times).join(targets.select("key", "source_size", "target"), "key").select("id", "source", "h", "size", "source_size", "target", "taken", "times")
+
+
+def mix_to_targets(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source", **options) -> DataFrame:
+    """How many words of each document the mix takes: columns id_col, source_col, size, source_size, target, taken.
+
+    Counts documents by exact length in words, fits each source's target by `fit_counts`, and takes in each (source, length)
+    the documents with the smallest seeded hash. Every document is taken a whole number of times, max_repeat at most.
+
+    A group of documents of one source and length may be of any size: it is dealt by hash into buckets of about bucket_rows,
+    and ranks are a bucket's offset, from counts alone, plus the rank inside the bucket. Text is read once and never shuffled.
+
+    Null text has size 0 and is taken 0 times; null sources form a source; null ids are ordinary; rows with the same id are
+    separate documents; an empty table gives no rows; other columns are left out.
+    """
+    out = _mix(docs, id_col=id_col, text_col=text_col, source_col=source_col, **options)
     return out.select(F.col("id").alias(id_col), F.col("source").alias(source_col), "size", "source_size", "target", "taken")
 
 
-__all__ = ["fit_counts", "mix_to_targets", "source_targets"]
+def take_mix(docs: DataFrame, broadcast_rows: int = 500_000, seed: int = 3407, id_col: str = "doc_id", text_col: str = "text", **options) -> DataFrame:
+    """The documents that the mix of `mix_to_targets` takes, with all columns and `times`, how often each is taken (1 or more).
+
+    Rows that repeat both id and text are taken equally often.
+    """
+    taken = _mix(docs, id_col=id_col, text_col=text_col, seed=seed, **options).filter("times > 0").groupBy(F.col("id").alias(P + "id"), F.col("h").alias(P + "h")).agg(F.max("times").alias("times"))
+    taken = settle(taken, "mix-taken")
+    wide = docs.drop("times").withColumn(P + "h", F.xxhash64(F.lit(seed), F.col(id_col), F.col(text_col)))
+    joined = wide.join(checked_broadcast(taken, broadcast_rows), wide[id_col].eqNullSafe(taken[P + "id"]) & (wide[P + "h"] == taken[P + "h"]))
+    return joined.select(*[wide[c] for c in docs.columns if c != "times"], "times")
+
+
+__all__ = ["fit_counts", "mix_to_targets", "source_targets", "take_mix"]
