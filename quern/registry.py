@@ -1,4 +1,7 @@
 """All queries of the library and the SQL that checks them."""
 
-QUERIES: dict = {}
-ORACLE_SQL: dict = {}
+from .plans import curation, relational
+
+_PARTS = (curation, relational)
+QUERIES = {k: v for part in _PARTS for k, v in part.QUERIES.items()}
+ORACLE_SQL = {k: v for part in _PARTS for k, v in part.ORACLE_SQL.items()}
