@@ -6,7 +6,7 @@ import numpy as np
 
 
 def _ranks_in_groups(groups: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """A stable order by group and each ordered entry's rank in its group."""
+    """A stable order by group (radix sort: groups are of 16 bits) and each ordered entry's rank in its group."""
     order = np.argsort(groups, kind="stable")
     own = groups[order]
     first = np.concatenate([[True], own[1:] != own[:-1]])
@@ -32,7 +32,7 @@ def induce(s: np.ndarray, small: np.ndarray, lms: np.ndarray, sigma: int) -> np.
     Left to right, each suffix puts its L-type predecessor at the head of that one's bucket; then right to left for S-types at
     the tails. A bucket is done at once, in waves: what the bucket puts into itself is its next wave.
     """
-    n = len(s)
+    n, s = len(s), s.astype(np.uint16)
     counts = np.bincount(s, minlength=sigma)
     ends = np.cumsum(counts)
     starts = ends - counts
@@ -121,10 +121,10 @@ def suffix_array(s: np.ndarray, sigma: int, depth: int | None = None) -> np.ndar
     while names.max() + 1 < len(names) and (depth is None or reach <= depth):
         follow = np.concatenate([names[reach:] + 1, np.zeros(min(reach, len(names)), dtype=np.int64)])
         both = names * (len(names) + 1) + follow
-        order = np.argsort(both, kind="stable")
+        order = np.argsort(both)
         names[order] = np.concatenate([[0], np.cumsum(both[order][1:] != both[order][:-1])])
         reach *= 2
-    return induce(s, small, lms[np.argsort(names, kind="stable")], sigma)
+    return induce(s, small, lms[np.argsort(names)], sigma)
 
 
 def permuted_common_prefixes(data: np.ndarray, order: np.ndarray, most: int) -> np.ndarray:
