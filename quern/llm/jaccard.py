@@ -66,7 +66,7 @@ def linked(sets: list[np.ndarray], side: np.ndarray, similarity: Fraction) -> np
 
 def jaccard_groups(
     docs: DataFrame, similarity: float = 0.8, n: int = 5, trees: int = 32, max_depth: int = 16, recall: float = 0.9999, seed: int = 17,
-    block_shingles: int = 400_000, broadcast_rows: int = 200_000, id_col: str = "doc_id", text_col: str = "text",
+    block_shingles: int = 64_000, broadcast_rows: int = 200_000, id_col: str = "doc_id", text_col: str = "text",
 ) -> DataFrame:
     """All pairs of documents whose sets of n-word shingles have a Jaccard similarity of at least `similarity`, as groups and counts.
 
