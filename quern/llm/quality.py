@@ -22,6 +22,8 @@ SIGNS = np.array([10, *range(33, 65), *range(91, 97), *range(123, 127)])
 SYMBOLS = np.frombuffer(b"#$%&*+<=>@[\\]^_`{|}~", dtype=np.uint8)
 #: Bytes in a word's head; ids of each style step.
 HEAD, COPIES = 5, 8
+#: Rows that the fit handles at once.
+BLOCK = 512
 
 
 @dataclass
@@ -92,17 +94,22 @@ def fit_ordinal(ids: np.ndarray, cuts: np.ndarray, ratings: np.ndarray, dim: int
         return np.cumsum(np.concatenate([x[dim : dim + 1], np.exp(x[dim + 1 :])]))
 
     def loss(x: np.ndarray) -> tuple[float, np.ndarray]:
-        t, z = np.concatenate([[-np.inf], thresholds(x), [np.inf]]), _row_sums(x[ids], cuts)
-        hi, lo = _sigmoid(t[y + 1] - z), _sigmoid(t[y] - z)
-        p = np.maximum(hi - lo, 1e-12)
-        d_hi, d_lo = hi * (1 - hi) / p, lo * (1 - lo) / p
-        g = np.zeros_like(x)
-        g[:dim] = np.bincount(ids, weights=np.repeat(d_hi - d_lo, lens), minlength=dim) + l2 * x[:dim]
-        d_t = np.array([-(d_hi[y == i].sum()) + d_lo[y == i + 1].sum() for i in range(k - 1)])
+        t, g, total = np.concatenate([[-np.inf], thresholds(x), [np.inf]]), np.zeros_like(x), 0.0
+        g[:dim], d_t = l2 * x[:dim], np.zeros(k - 1)
+        for a in range(0, rows, BLOCK):  # in blocks, so that little more than the sample itself is held
+            b = min(a + BLOCK, rows)
+            own, y_own = ids[cuts[a] : cuts[b]], y[a:b]
+            z = _row_sums(x[own], cuts[a : b + 1] - cuts[a])
+            hi, lo = _sigmoid(t[y_own + 1] - z), _sigmoid(t[y_own] - z)
+            p = np.maximum(hi - lo, 1e-12)
+            d_hi, d_lo = hi * (1 - hi) / p, lo * (1 - lo) / p
+            g[:dim] += np.bincount(own, weights=np.repeat(d_hi - d_lo, lens[a:b]), minlength=dim)
+            d_t += [d_lo[y_own == i + 1].sum() - d_hi[y_own == i].sum() for i in range(k - 1)]
+            total -= np.log(p).sum()
         tail = np.cumsum(d_t[::-1])[::-1]
         g[dim] = tail[0]
         g[dim + 1 :] = tail[1:] * np.exp(x[dim + 1 :])
-        return -np.log(p).sum() + 0.5 * l2 * float(x[:dim] @ x[:dim]), g
+        return total + 0.5 * l2 * float(x[:dim] @ x[:dim]), g
 
     f, g = loss(x)
     past: list[tuple[np.ndarray, np.ndarray, float]] = []
@@ -153,8 +160,9 @@ def train(docs: DataFrame, ratings: DataFrame, grade: Column, max_rows: int = 8_
 
     rows = sorted(rated.mapInArrow(extract, "id long, grade int, ids binary").collect(), key=lambda r: (r[0], r[1], r[2]))[:max_rows]
     cuts = np.concatenate([[0], np.cumsum([len(r[2]) // 4 for r in rows])]).astype(np.int64)
-    ids = np.frombuffer(b"".join(r[2] for r in rows), dtype=np.int32)
-    return fit_ordinal(ids, cuts, np.array([r[1] for r in rows], dtype=np.int64), dim, l2)
+    ids, graded = np.frombuffer(b"".join(r[2] for r in rows), dtype=np.int32), np.array([r[1] for r in rows], dtype=np.int64)
+    del rows
+    return fit_ordinal(ids, cuts, graded, dim, l2)
 
 
 def score_quality(docs: DataFrame, model: OrdinalModel, text_col: str = "text") -> DataFrame:
