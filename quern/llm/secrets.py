@@ -30,7 +30,7 @@ ENCODINGS = (
     ("base64", r"[A-Za-z0-9+/]+=*\Z", "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/", 2.9),
 )
 #: Ordinary tokens change between lower case, upper case, digits and signs at most at this rate, and sequences are this correlated.
-CHANGE_RATE, CORRELATION = 0.25, 0.6
+CHANGE_RATE, CORRELATION = 0.25, 0.85
 #: Length bands of the false-discovery control, and steps of -log10 p on its grid.
 BANDS, GRID, TOP = (20, 24, 32, 48, 80, 160), 10, 300
 
@@ -62,8 +62,9 @@ def battery(token: str) -> tuple[str, float] | None:
     """Inferred encoding and p of the token under "ordinary or structured token"; None for tokens of one class of characters.
 
     Each test is turned round into a test of equivalence, so that a small p speaks for randomness: chi-squared of the alphabet
-    below what ordinary tokens of this length reach, more runs of character classes than ordinary tokens have, and a lag-1
-    serial correlation nearer to 0 than sequences have. Fisher's method combines the three.
+    below what ordinary tokens of this length reach, more runs of character classes than ordinary tokens have (these two
+    combined by Fisher's method: not words), and a lag-1 serial correlation nearer to 0 than sequences have. A token must be
+    neither words nor a sequence, so the larger of the two p-values counts.
     """
     body = token.rstrip("=")
     if body.isdigit() or body.isalpha() and (body.islower() or body.isupper()):
@@ -83,9 +84,9 @@ def battery(token: str) -> tuple[str, float] | None:
     a, b = codes[:-1] - codes[:-1].mean(), codes[1:] - codes[1:].mean()
     spread = math.sqrt(float((a * a).sum() * (b * b).sum()))
     r = abs(float((a * b).sum()) / spread) if spread else 1.0
-    p_serial = _below((r - CORRELATION) * math.sqrt(m))
-    x = -sum(math.log(max(p, 1e-300)) for p in (p_chi, min(p_runs, 1.0), p_serial))
-    return name, min(1.0, math.exp(-x) * (1 + x + x * x / 2))
+    p_serial = _below((math.atanh(min(r, 0.999)) - math.atanh(CORRELATION)) * math.sqrt(n - 3))  # Fisher's transformation
+    x = -math.log(max(p_chi, 1e-300)) - math.log(max(min(p_runs, 1.0), 1e-300))
+    return name, min(1.0, max(p_serial, math.exp(-x) * (1 + x)))
 
 
 _ANY = re.compile("")
