@@ -14,7 +14,7 @@ from .common import settle, small_batches
 
 
 def _matrix(column: pd.Series) -> np.ndarray:
-    return np.array(column.tolist(), dtype=np.int64).reshape(len(column), -1)
+    return np.array(column.tolist(), dtype=np.int64).reshape(len(column), len(column.iloc[0]))
 
 
 def _products(rows: np.ndarray, query: np.ndarray) -> np.ndarray:
@@ -85,7 +85,8 @@ def exact_top_k(
         F.col(id_col).cast("long").alias("id"), F.transform(v, lambda x: F.floor(F.lit(float(scale)) * x.cast("double")).cast("long")).alias("v"), F.coalesce(is_query, F.lit(False)).alias("q")
     )
     some = clean.select("v").orderBy(F.xxhash64("id"), "id").limit(pivot_sample).collect()
-    pivots = {d: pick_pivots(np.array([r[0] for r in some if len(r[0]) == d], dtype=np.int64).reshape(-1, d), n_pivots) for d in {len(r[0]) for r in some}}
+    by_size = {d: [r[0] for r in some if len(r[0]) == d] for d in {len(r[0]) for r in some}}
+    pivots = {d: pick_pivots(np.array(own, dtype=np.int64).reshape(len(own), d), n_pivots) for d, own in by_size.items()}
 
     def to_pivots(rows: np.ndarray) -> np.ndarray:
         p = pivots.get(rows.shape[1])
@@ -114,7 +115,7 @@ def exact_top_k(
             best = [none] * len(asked)
             for pdf in batches:
                 for part in by_dim(pdf):
-                    rows, ids, far = _matrix(part["v"]), part["id"].to_numpy(np.int64), np.array(part["far"].tolist()).reshape(len(part), -1)
+                    rows, ids, far = _matrix(part["v"]), part["id"].to_numpy(np.int64), np.array(part["far"].tolist())
                     for i, (query_id, query, query_far) in enumerate(asked):
                         if len(query) == rows.shape[1]:
                             best[i] = scan_block(ids, rows, far, query, query_id, query_far, k, best[i])
