@@ -57,7 +57,7 @@ def fit_counts(lengths: np.ndarray, counts: np.ndarray, target: float, max_repea
         extra[i] = min(int(counts[i]), int(want // lengths[i]))
         carry = want - extra[i] * lengths[i]
     rest = budget - int((extra * lengths).sum())
-    room = rest + int(lengths.min())
+    room = rest + int(lengths.max())
     mask, sums, steps = (1 << (room + 1)) - 1, 1, []
     for i in order[::-1]:
         n, part = min(int(counts[i] - extra[i]), room // int(lengths[i])), 1
