@@ -20,8 +20,8 @@ DENSITY = np.array([1e-9, 1e-3, 5e-3, 2e-2, 8e-2, 0.2, 0.4])
 SIGNS = np.array([10, *range(33, 65), *range(91, 97), *range(123, 127)])
 #: Signs that ordinary prose hardly has.
 SYMBOLS = np.frombuffer(b"#$%&*+<=>@[\\]^_`{|}~", dtype=np.uint8)
-#: Bytes in a word's head; ids of each style step.
-HEAD, COPIES = 5, 8
+#: Bytes in a word's heads; ids of each style step.
+HEADS, COPIES = (4, 5), 8
 #: Rows that the fit handles at once.
 BLOCK = 512
 
@@ -56,10 +56,15 @@ def features(column: pa.Array, dim: int) -> tuple[np.ndarray, np.ndarray]:
     own = np.unique(doc * (1 << 40) + (hashes >> np.uint64(24)).astype(np.int64))
     fresh = np.bincount(own >> 40, minlength=n)
     same = np.bincount(doc[1:][(hashes[1:] == hashes[:-1]) & (doc[1:] == doc[:-1])], minlength=n)
-    style = np.column_stack([signs / size[:, None], symbols / size, same / total, np.maximum(0, 1 - fresh / np.sqrt(total) / 8)])
+    # A text of n words has some 8 * sqrt(n) different ones; a short one no fewer than it has words.
+    met = np.where(np.diff(cuts) > 0, np.maximum(0, 1 - fresh / np.minimum(total, 8 * np.sqrt(total))), 0)
+    style = np.column_stack([signs / size[:, None], symbols / size, same / total, met])
     step = np.searchsorted(DENSITY, style, side="right")
     d, s = np.nonzero(step)
-    ids, docs = [hashes >> np.uint64(20), mix(words_of_bytes(data, offsets, HEAD)[0] + np.uint64(1))], [doc, doc]
+    ids, docs = [hashes >> np.uint64(20)], [doc]
+    for head in HEADS:
+        ids.append(mix(words_of_bytes(data, offsets, head)[0] + np.uint64(head)))
+        docs.append(doc)
     for k in range(1, len(DENSITY) + 1):
         at = step[d, s] >= k
         for copy in range(COPIES):
@@ -112,7 +117,7 @@ def fit_ordinal(ids: np.ndarray, cuts: np.ndarray, ratings: np.ndarray, dim: int
         return total + 0.5 * l2 * float(x[:dim] @ x[:dim]), g
 
     f, g = loss(x)
-    past: list[tuple[np.ndarray, np.ndarray, float]] = []
+    small, past = 0, []
     for _ in range(steps):
         d, alphas = -g, []
         for s, u, r in reversed(past):
@@ -134,7 +139,8 @@ def fit_ordinal(ids: np.ndarray, cuts: np.ndarray, ratings: np.ndarray, dim: int
         x, gain, f, g = x + s, f - f_new, f_new, g_new
         if float(s @ u) > 1e-12:
             past = [*past[-7:], (s, u, 1 / float(s @ u))]
-        if gain < 1e-5 * rows:
+        small = small + 1 if gain < 1e-5 * rows else 0
+        if small == 3:
             break
     return OrdinalModel(x[:dim], thresholds(x), grades)
 
