@@ -12,18 +12,35 @@ def draw(id_col: str, seed: int = SEED) -> Column:
     return F.md5(F.concat(F.lit(f"{seed}:"), F.col(id_col).cast("string")))
 
 
+def ranked(df: DataFrame, by: str, coarse: Column, order: list[Column]) -> DataFrame:
+    """Adds __rank, the place of each row in its group by coarse, then order, and __n, the group's rows.
+
+    A group of any size is dealt out by `coarse`: only counts of (group, coarse) are ordered in one place, and a row's rank is
+    what precedes its part plus its rank inside it.
+    """
+    key = F.coalesce(F.concat(F.lit("v"), F.col(by).cast("string")), F.lit("n"))
+    wide = df.withColumns({"__key": key, "__part": coarse})
+    group = Window.partitionBy("__key")
+    counts = wide.groupBy("__key", "__part").agg(F.count(F.lit(1)).alias("__c"))
+    counts = counts.withColumn("__before", F.sum("__c").over(group.orderBy("__part")) - F.col("__c")).withColumn("__n", F.sum("__c").over(group)).drop("__c")
+    inside = F.row_number().over(Window.partitionBy("__key", "__part").orderBy(*order))
+    return wide.join(counts, ["__key", "__part"]).withColumn("__rank", F.col("__before") + inside).drop("__key", "__part", "__before")
+
+
 def holdout(df: DataFrame, stratum: str, share: float = 0.1, newest_first: str | None = None, id_col: str = "doc_id", seed: int = SEED) -> DataFrame:
     """Adds held_out: in each stratum, floor(share * rows), those with the latest `newest_first` first, then by draw."""
-    by = Window.partitionBy(stratum)
-    order = ([F.col(newest_first).desc()] if newest_first else []) + [draw(id_col, seed), F.col(id_col)]
-    quota = F.floor(F.lit(share) * F.count(F.lit(1)).over(by)).cast("long")
-    return df.withColumn("held_out", F.row_number().over(by.orderBy(*order)) <= quota)
+    drawn = draw(id_col, seed)
+    coarse = -F.unix_date(F.col(newest_first).cast("date")) if newest_first and dict(df.dtypes)[newest_first] in ("date", "timestamp", "timestamp_ntz") else -F.col(newest_first) if newest_first else F.substring(drawn, 1, 4)
+    order = ([F.col(newest_first).desc()] if newest_first else []) + [drawn, F.col(id_col)]
+    out = ranked(df, stratum, coarse, order)
+    return out.withColumn("held_out", F.col("__rank") <= F.floor(F.lit(share) * F.col("__n")).cast("long")).drop("__rank", "__n")
 
 
 def mix(df: DataFrame, quotas: dict[str, int], stream: str, id_col: str = "doc_id", seed: int = SEED) -> DataFrame:
     """Of each stream the quota's number of rows, by draw; streams without a quota give none."""
     limit = F.coalesce(*[F.when(F.col(stream) == s, F.lit(q)) for s, q in quotas.items()], F.lit(0))
-    return df.withColumn("__rank", F.row_number().over(Window.partitionBy(stream).orderBy(draw(id_col, seed), id_col))).filter(F.col("__rank") <= limit).drop("__rank")
+    drawn = draw(id_col, seed)
+    return ranked(df.filter(limit > 0), stream, F.substring(drawn, 1, 4), [drawn, F.col(id_col)]).filter(F.col("__rank") <= limit).drop("__rank", "__n")
 
 
 def shares(df: DataFrame, stream: str) -> DataFrame:
