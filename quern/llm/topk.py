@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Iterator
 from functools import reduce
 
@@ -10,7 +11,10 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import settle, small_batches
+from .common import settle, shared_dir, small_batches
+
+#: Blocks of queries that one job answers.
+WAVE = 16
 
 
 def _matrix(column: pd.Series) -> np.ndarray:
@@ -78,7 +82,8 @@ def exact_top_k(
     with each other; rows that share the query's id count as the query's own; repeated rows with other ids tie; an empty table
     gives no rows; other columns are left out; scores beyond 64 bits are held at the limits.
     """
-    small_batches(vectors.sparkSession, 8192, "16m")
+    spark = vectors.sparkSession
+    small_batches(spark, 8192, "16m")
     v = F.col(vector_col)
     whole = F.forall(v, lambda x: F.coalesce(x.isNotNull() & ~F.isnan(x) & (F.abs(x) != float("inf")), F.lit(False)))
     clean = vectors.filter(F.col(id_col).isNotNull() & v.isNotNull()).filter(whole).select(
@@ -105,7 +110,7 @@ def exact_top_k(
 
     table = settle(clean.mapInPandas(measure, "id long, v array<bigint>, q boolean, far array<double>"), "pivot-table")
     n_blocks = max(1, -(-table.filter("q").count() // query_block))
-    parts = []
+    parts, path = [], f"{shared_dir(spark)}/quern-topk-{uuid.uuid4().hex}"
     for block in range(n_blocks):
         mine = table.filter("q").filter(F.pmod(F.xxhash64("id"), F.lit(n_blocks)) == block).select("id", "v", "far").collect()
         asked = [(r[0], np.array(r[1], dtype=np.int64), np.array(r[2])) for r in {r[0]: r for r in sorted(mine, reverse=True)}.values()]
@@ -124,6 +129,11 @@ def exact_top_k(
                     yield pd.DataFrame({"query_id": query_id, "vec_id": ids, "score": scores})
 
         parts.append(table.mapInPandas(search, "query_id long, vec_id long, score long"))
+        if len(parts) == WAVE and block + 1 < n_blocks:  # plans stay small however many blocks there are
+            reduce(DataFrame.unionAll, parts).write.mode("append").parquet(path)
+            parts = []
+    if n_blocks > WAVE:
+        parts.append(spark.read.schema("query_id long, vec_id long, score long").parquet(path))
     rank = F.row_number().over(Window.partitionBy("query_id").orderBy(F.col("score").desc(), "vec_id"))
     found = reduce(DataFrame.unionAll, parts).withColumn("rank", rank).filter(F.col("rank") <= k)
     return found.select("query_id", "rank", "vec_id", "score")

@@ -3,6 +3,7 @@ import random
 
 from pyspark.sql import functions as F
 
+from quern.llm import topk
 from quern.llm.queries import ORACLE_SQL, QUERIES
 from quern.llm.topk import exact_top_k
 from tests.compare import SMALL, of_spark, oracle
@@ -27,13 +28,15 @@ def test_equals_sql(spark):
     assert of_spark(QUERIES["op4_topk"](spark, SMALL)) == oracle(ORACLE_SQL["op4_topk"])
 
 
-def test_ties_nulls_and_odd_rows(spark):
+def test_ties_nulls_and_odd_rows(spark, monkeypatch):
     rng = random.Random(1)
     f32 = lambda x: float(F32(x))
     rows = [(i, [f32(rng.gauss(0, 1)) for _ in range(8)]) for i in range(200)]
     rows += [(300 + i, rows[3][1]) for i in range(30)] + [(400, None), (401, [None] * 8), (402, [float("nan")] * 8), (403, [float("inf")] * 8), (None, [1.0] * 8), (450, [1.0, 2.0]), (451, [3.0, 1.0]), (500, [])]
     for options in ({}, {"n_pivots": 1, "pivot_sample": 3}, {"query_block": 2}):
         assert run(spark, rows, **options) == plain(rows)
+    monkeypatch.setattr(topk, "WAVE", 2)
+    assert run(spark, rows, query_block=1) == plain(rows)
 
 
 def F32(x):  # noqa: N802
