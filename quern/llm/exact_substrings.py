@@ -12,7 +12,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import settle, small_batches
+from .common import settle, shared_dir, small_batches
 from .suffixes import permuted_common_prefixes, suffix_array
 from .words import mix, text_bytes
 
@@ -246,7 +246,7 @@ def remove_repeats(
 
     buckets = max(int(spark.conf.get("spark.sql.shuffle.partitions")), 1)
     table = f"quern_chunks_{uuid.uuid4().hex}"
-    source.filter("id is not null").mapInArrow(pack, "chunk long, ids array<bigint>, sizes array<int>, data binary").write.bucketBy(buckets, "chunk").saveAsTable(table)
+    source.filter("id is not null").mapInArrow(pack, "chunk long, ids array<bigint>, sizes array<int>, data binary").write.bucketBy(buckets, "chunk").option("path", f"{shared_dir(spark)}/{table}").saveAsTable(table)
     chunks = spark.table(table)
     total = chunks.agg(F.sum(F.aggregate("sizes", F.lit(0).cast("long"), lambda a, x: a + x))).first()[0] or 0
     shards = max(1, -(-total // shard_bytes))
