@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -42,10 +44,20 @@ def words(c: Column) -> Column:
     return F.filter(F.split(or_empty(c), r"[\x20\x09-\x0D]+"), lambda x: x != "")
 
 
+def bound(value: Column, then: Callable[[Column], Column]) -> Column:
+    """then(value), with value computed once for each row, however often and in whatever lambda it is used."""
+    return F.element_at(F.transform(F.array(value), then), 1)
+
+
 def word_ngrams(tokens: Column, n: int) -> Column:
     """All runs of n tokens, joined by spaces; empty if there are fewer."""
-    count = F.size(tokens) - (n - 1)
-    return F.when(count > 0, F.transform(F.sequence(F.lit(1), F.greatest(count, F.lit(1))), lambda i: F.array_join(F.slice(tokens, i, n), " "))).otherwise(F.array().cast("array<string>"))
+
+    def runs(t: Column) -> Column:
+        count = F.size(t) - (n - 1)
+        every = F.transform(F.sequence(F.lit(1), F.greatest(count, F.lit(1))), lambda i: F.array_join(F.slice(t, i, n), " "))
+        return F.when(count > 0, every).otherwise(F.array().cast("array<string>"))
+
+    return bound(tokens, runs)
 
 
 def first_match_replaced(c: Column, pattern: str, new: Column) -> Column:

@@ -5,17 +5,20 @@ from __future__ import annotations
 from collections.abc import Iterator
 
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.strings import words
+from ..functions.strings import bound, words
 
 
 def chunk_words(docs: DataFrame, size: int = 256, id_col: str = "doc_id", text: str = "text") -> DataFrame:
     """(id_col, chunk_ix from 0, chunk_text, n_words): runs of `size` words; a text without words has none."""
-    w = words(F.col(text))
-    n = F.ceil(F.size(w) / size).cast("int")
-    parts = F.when(n > 0, F.transform(F.sequence(F.lit(0), F.greatest(n, F.lit(1)) - 1), lambda i: F.slice(w, i * size + 1, size)))
+
+    def cut(w: Column) -> Column:
+        n = F.ceil(F.size(w) / size).cast("int")
+        return F.when(n > 0, F.transform(F.sequence(F.lit(0), F.greatest(n, F.lit(1)) - 1), lambda i: F.slice(w, i * size + 1, size)))
+
+    parts = bound(words(F.col(text)), cut)
     return docs.select(id_col, F.posexplode(parts).alias("chunk_ix", "w")).select(id_col, F.col("chunk_ix").cast("long"), F.array_join("w", " ").alias("chunk_text"), F.size("w").cast("long").alias("n_words"))
 
 

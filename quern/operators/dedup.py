@@ -5,7 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.strings import words
+from ..functions.strings import bound, words
+from ..sources.shared import settled
 
 
 def drop_copies(docs: DataFrame, id_col: str = "doc_id", text: str = "text") -> DataFrame:
@@ -19,8 +20,7 @@ def word_set(text: Column) -> Column:
 
 def signature(text: Column, seeds: int = 8) -> Column:
     """Array of the least md5 of seed:word over the text's distinct words; md5 so that any engine gets the same. Null without words."""
-    w = word_set(text)
-    return F.when(F.size(w) > 0, F.array(*[F.array_min(F.transform(w, _hashed(k))) for k in range(seeds)]))
+    return bound(word_set(text), lambda w: F.when(F.size(w) > 0, F.array(*[F.array_min(F.transform(w, _hashed(k))) for k in range(seeds)])))
 
 
 def _hashed(k: int):
@@ -34,7 +34,7 @@ def candidates(signed: DataFrame, bands: int = 4, rows: int = 2, id_col: str = "
     for verification, so this is for clusters, where near copies agree with their bucket's first row.
     """
     band = F.explode(F.transform(F.sequence(F.lit(0), F.lit(bands - 1)), lambda i: F.concat_ws("|", i, F.array_join(F.slice(sig, i * rows + 1, rows), "|"))))
-    keyed = signed.filter(F.col(sig).isNotNull()).select(id_col, band.alias("band"))
+    keyed = settled(signed.filter(F.col(sig).isNotNull()).select(id_col, band.alias("band")), "bands")
     first = keyed.groupBy("band").agg(F.min(id_col).alias("a"), F.count(F.lit(1)).alias("n")).filter("n > 1").drop("n")
     return keyed.join(first, "band").filter(F.col(id_col) > F.col("a")).select("a", F.col(id_col).alias("b")).distinct()
 

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from ..operators import chat, chunking, citations, decontam, dedup, folds, gates, guard, ledger, manifest, reports, splits, turns
+from ..operators import assembly, chat, chunking, citations, decontam, dedup, folds, gates, guard, ledger, manifest, reports, splits, turns
 from ..sources.tables import clean_pages
 from .relational import table
 
@@ -212,13 +212,54 @@ def think_history(spark: SparkSession, sf_dir: str) -> DataFrame:
     return m.select("conv_id", chat.occurrences(chat.render_messages(kept), "<think>").alias("n_think"), F.length(chat.render_messages(kept)).cast("long").alias("n_chars"))
 
 
+def provenance_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    lab = table(spark, sf_dir, "labels").withColumnRenamed("doc_id", "chunk_id")
+    out = assembly.with_provenance(table(spark, sf_dir, "documents").withColumnRenamed("doc_id", "chunk_id").select("chunk_id", "lang"), lab)
+    return out.select("chunk_id", "lang", "provenance.quality", "provenance.toxic")
+
+
+def grounded_only(spark: SparkSession, sf_dir: str) -> DataFrame:
+    d = table(spark, sf_dir, "documents")
+    return assembly.not_verbatim(d.filter("doc_id % 2 = 1"), d.filter("doc_id % 2 = 0")).select("doc_id")
+
+
+def hallucination_rate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return assembly.sampled_rate(table(spark, sf_dir, "documents"), F.col("text").contains("Licen")).select("n", F.round("rate", 6).alias("rate"))
+
+
+def source_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return assembly.admitted_sources(table(spark, sf_dir, "documents"), F.length("text") >= 500, "source", 0.8, 30).select("source", "audited", F.round("pass_rate", 6).alias("pass_rate"), "admitted")
+
+
+def paired_eval(spark: SparkSession, sf_dir: str) -> DataFrame:
+    e = table(spark, sf_dir, "events").filter("event_type IN ('signup', 'purchase')")
+    scores = e.groupBy("event_type", "user_id").agg(F.count(F.lit(1)).cast("double").alias("score"))
+    r = scores.select(F.lit("count").alias("instrument"), F.when(F.col("event_type") == "signup", "base").otherwise("adapter").alias("model"), F.col("user_id").alias("item_id"), "score")
+    return assembly.paired(r).select("item_id", "baseline", "adapter")
+
+
+def builder_gates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rendered = chat.mask_coverage(chat.render_long(table(spark, sf_dir, "conversations")))
+    return assembly.builder_gates(rendered, F.ceil(F.col("n_chars") / 4), most=2048)
+
+
+def reasoning_share(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return assembly.share_reached(table(spark, sf_dir, "documents"), F.col("lang") == "en", 0.6).select(F.round("share", 6).alias("share"), "ok")
+
+
+def assembled_set(spark: SparkSession, sf_dir: str) -> DataFrame:
+    quotas = {"en": 300, "fr": 80, "de": 120}
+    out = assembly.assemble(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"), quotas, "source", "lang", gates.rule_floors(20, ("en", "fr", "de")))
+    return out.select("doc_id", "lang", "source", "split")
+
+
 QUERIES = {
     f.__name__: f
     for f in (
         smoke_sft, smoke_skip_counts, chatml_render, mask_coverage, think_history, probe_greedy, pack_bins, nonfinite_streak, length_histogram, drop_overlength, rule_floors, rule_survival,
         lang_toxic_filter, license_filter, exact_dedup, minhash_signature, lsh_candidates, near_dup_pairs, decontam_13gram, embed_screen, chunk_words, chunk_paragraphs, holdout_split,
         mix_quota, mix_shares, citation_fuzzy, judge_pass, audit_rate, win_rate, survival, budget_admit, latest_status, outstanding_work, batch_requests, retention, run_overlay,
-        snapshot_sources, page_ingest,
+        snapshot_sources, page_ingest, provenance_join, grounded_only, hallucination_rate, source_audit, paired_eval, builder_gates, reasoning_share, assembled_set,
     )
 }
 
@@ -321,4 +362,34 @@ ORACLE_SQL = {
     "page_ingest": r"""WITH p AS (SELECT page_id, regexp_replace(lower(url), '[?#].*$|/+$', '', 'g') AS url,
         trim(regexp_replace(regexp_replace(html, '(?is)<script\b.*?</script>|<style\b.*?</style>|<[^>]*>', ' ', 'g'), '[\x20\x09-\x0D]+', ' ', 'g')) AS t FROM pages)
         SELECT page_id, regexp_extract(url, '^[a-z]+://([^/:]+)', 1) AS host, url, length(t) AS n_text, md5(t) AS text_hash FROM p""",
+    "provenance_join": "SELECT d.doc_id AS chunk_id, lang, quality, toxic FROM documents d JOIN labels l ON d.doc_id = l.doc_id",
+    "grounded_only": """SELECT doc_id FROM documents WHERE doc_id % 2 = 1
+        AND (text IS NULL OR trim(text) NOT IN (SELECT trim(text) FROM documents WHERE doc_id % 2 = 0 AND text IS NOT NULL))""",
+    "hallucination_rate": """SELECT count(*) AS n, round(avg(coalesce(contains(text, 'Licen'), false)::INT), 6) AS rate
+        FROM (SELECT * FROM documents ORDER BY md5('3407:' || doc_id), doc_id LIMIT 200)""",
+    "source_audit": """WITH r AS (SELECT *, row_number() OVER (PARTITION BY source ORDER BY md5('3407:' || doc_id), doc_id) AS k FROM documents)
+        SELECT source, count(*) AS audited, round(avg(coalesce(length(text) >= 500, false)::INT), 6) AS pass_rate, avg(coalesce(length(text) >= 500, false)::INT) >= 0.8 AS admitted
+        FROM r WHERE k <= 30 GROUP BY source""",
+    "paired_eval": """WITH s AS (SELECT event_type, user_id, count(*)::DOUBLE AS n FROM events GROUP BY ALL),
+        a AS (SELECT * FROM s WHERE event_type = 'signup'), b AS (SELECT * FROM s WHERE event_type = 'purchase')
+        SELECT coalesce(a.user_id, b.user_id) AS item_id, a.n AS baseline, b.n AS adapter FROM a FULL JOIN b ON a.user_id = b.user_id""",
+    "builder_gates": """WITH r AS (SELECT conv_id, sum(length(role) + length(coalesce(text, '')) + 24) AS n,
+        coalesce(sum(length(coalesce(text, ''))) FILTER (role = 'assistant'), 0) AS t, bool_or(contains(coalesce(text, ''), '<|endoftext|>')) AS p FROM conversations GROUP BY conv_id),
+        g AS (SELECT count(*) AS "rows", count_if(ceil(n / 4) > 2048)::BIGINT AS over_length, count_if(t = 0)::BIGINT AS unmasked, count_if(p)::BIGINT AS padded FROM r)
+        SELECT *, over_length = 0 AND unmasked = 0 AND padded = 0 AS ok FROM g""",
+    "reasoning_share": "SELECT round(avg((lang = 'en')::INT), 6) AS share, avg((lang = 'en')::INT) >= 0.6 AS ok FROM documents",
+    "assembled_set": f"""WITH floors AS (SELECT doc_id, text, lang, source, {_FLOORS.replace("('en')", "('en', 'fr', 'de')")} FROM documents),
+        fl AS (SELECT * FROM floors WHERE coalesce(r1, r2, r3) IS NULL AND length(text) <= 32768),
+        s AS (SELECT doc_id, w, CASE WHEN len(w) > 0 THEN [{_SIG}] END AS sig FROM (SELECT doc_id, {_SET} AS w FROM fl)),
+        b AS (SELECT doc_id, i, sig[2 * i + 1] || sig[2 * i + 2] AS h FROM s, range(4) t(i) WHERE sig IS NOT NULL),
+        g AS (SELECT i, h, min(doc_id) AS a FROM b GROUP BY i, h),
+        c AS (SELECT DISTINCT g.a, b.doc_id AS b FROM b JOIN g ON b.i = g.i AND b.h = g.h WHERE b.doc_id > g.a),
+        j AS (SELECT c.b, len(list_intersect(x.w, y.w)) AS i, len(x.w) + len(y.w) AS n FROM c JOIN s x ON c.a = x.doc_id JOIN s y ON c.b = y.doc_id),
+        u AS (SELECT * FROM fl WHERE doc_id NOT IN (SELECT b FROM j WHERE i / (n - i) >= 0.8::DOUBLE)),
+        d AS ({_GRAMS.format(key="doc_id", table="u")}), p AS ({_GRAMS.format(key="item_id", table="benchmark")}),
+        k AS (SELECT * FROM u WHERE doc_id NOT IN (SELECT doc_id FROM d WHERE g IN (SELECT g FROM p))),
+        h AS (SELECT *, row_number() OVER (PARTITION BY source ORDER BY md5('3407:' || doc_id), doc_id) <= CAST(floor(0.1::DOUBLE * count(*) OVER (PARTITION BY source)) AS BIGINT) AS held FROM k),
+        m AS (SELECT *, row_number() OVER (PARTITION BY lang ORDER BY md5('3407:' || doc_id), doc_id) AS r FROM h WHERE NOT held)
+        SELECT doc_id, lang, source, 'train' AS split FROM m WHERE r <= CASE lang WHEN 'en' THEN 300 WHEN 'fr' THEN 80 WHEN 'de' THEN 120 ELSE 0 END
+        UNION ALL SELECT doc_id, lang, source, 'held_out' FROM h WHERE held""",
 }

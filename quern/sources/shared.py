@@ -5,7 +5,7 @@ from __future__ import annotations
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 
 def shared_path(spark: SparkSession, label: str) -> str:
@@ -15,3 +15,10 @@ def shared_path(spark: SparkSession, label: str) -> str:
         base = "file://" + tempfile.mkdtemp(prefix="quern-")
         spark.conf.set("spark.checkpoint.dir", base)
     return f"{base.rstrip('/')}/quern-{label}-{uuid.uuid4().hex}"
+
+
+def settled(df: DataFrame, label: str) -> DataFrame:
+    """df written to the shared folder and read back: what follows may use it more than once without computing it again."""
+    path = shared_path(df.sparkSession, label)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)

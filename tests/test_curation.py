@@ -149,3 +149,29 @@ def test_reports(spark):
     assert [reports.decide(results(*x)).first().decision for x in ((3, -1), (1, 0), (5, -3), (-1, 0))] == ["scale", "confirm", "stop", "stop"]
     assert reports.win_rate(spark.createDataFrame([(1, 1.0), (1, 0.0), (2, 1.0)], "item_id int, win double")).first() == (2, 0.75, True)
     assert spark.range(1).select(reports.dataset_size(F.lit(24), F.lit(438), F.lit(2500))).first()[0] == 24 * 438 * 3600 // 2500
+
+
+def test_injected_sources_and_secrets(spark):
+    from quern.sources.injected import rows_data_source, secret
+
+    spark.dataSource.register(rows_data_source("quern_rows", "i int, t string", lambda part: [(part * 10 + k, f"r{k}") for k in range(2)], 3))
+    assert sorted(r.i for r in spark.read.format("quern_rows").load().collect()) == [0, 1, 10, 11, 20, 21]
+
+    def broken():
+        raise OSError("no file")
+
+    assert secret([broken, lambda: " ", lambda: " key \n"]) == "key" and secret([broken], required=False) is None
+    with pytest.raises(LookupError):
+        secret([broken])
+
+
+def test_assembly(spark):
+    from quern.operators import assembly
+
+    d = spark.createDataFrame([(1, "c1", "a"), (2, "c9", " b ")], "doc_id long, chunk_id string, text string")
+    src = spark.createDataFrame([("c1", "law", "mit")], "chunk_id string, source string, license string")
+    assert [(r.doc_id, r.provenance.license) for r in assembly.with_provenance(d, src).collect()] == [(1, "mit")]
+    assert [r.doc_id for r in assembly.not_verbatim(d, spark.createDataFrame([("b",)], "text string")).collect()] == [1]
+    assert [r.doc_id for r in assembly.excluding(d, d.filter("doc_id = 1"), "doc_id").collect()] == [2]
+    assert assembly.share_reached(d, F.col("text") == "a", 0.8).first() == (0.5, False)
+    assert assembly.sampled_rate(d, F.col("text") == "a", 200).first() == (2, 0.5)
