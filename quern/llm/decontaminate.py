@@ -29,6 +29,7 @@ class ItemClass:
     ids: list[int] = field(default_factory=list)
     words: list[np.ndarray] = field(default_factory=list)
     grams: np.ndarray = field(default_factory=lambda: np.zeros(0, dtype=np.uint64))
+    bits: int = 1
     repetitions: int = 1
     #: For each repetition: sorted bucket keys of the items, and which item each belongs to.
     tables: list[tuple[np.ndarray, np.ndarray]] = field(default_factory=list)
@@ -46,7 +47,7 @@ def _steps(length: int, bits: int, repetition: int, seed: int) -> tuple[np.ndarr
     base = np.uint64((seed * 1_000_003 + repetition) % 2**32 << 20)
     odd = mix(base + np.arange(1, 3 * length + 1, dtype=np.uint64)) | np.uint64(1)
     draw = np.random.default_rng([seed, repetition, length])
-    # Later steps have drifted apart more often; sampling the first length steps alone would look at a third of the item.
+    # A walk advances at every second step, so it is at the end after some 2 * length of them.
     return odd, {int(x) for x in draw.choice(2 * length, size=min(bits, 2 * length), replace=False)}
 
 
@@ -67,10 +68,13 @@ def cgk_keys(data: np.ndarray, starts: np.ndarray, ends: np.ndarray, length: int
     return key
 
 
-def repetitions_for(c: ItemClass, bits: int, recall: float, seed: int, trials: int = 300) -> int:
-    """Repetitions after which strings c.edits random edits apart have met in a bucket with frequency `recall`, by trial."""
+def repetitions_for(c: ItemClass, bits: int, recall: float, seed: int, trials: int = 300, many: int = 64) -> tuple[int, int]:
+    """(places sampled, repetitions) after which strings c.edits random edits apart have met in a bucket with frequency `recall`, by trial.
+
+    Walks over long strings with many edits are seldom in step; if `bits` places need more than `many` repetitions, fewer are sampled.
+    """
     if not c.edits:
-        return 1
+        return bits, 1
     draw = np.random.default_rng([seed, c.length])
     base, near = [], []
     for _ in range(trials):
@@ -84,10 +88,12 @@ def repetitions_for(c: ItemClass, bits: int, recall: float, seed: int, trials: i
     spans = [np.concatenate([[0], np.cumsum([len(x) for x in v])]) for v in (base, near)]
     met, r = np.zeros(trials, dtype=bool), 0
     while met.mean() < recall:
+        if r == many and bits > 1:
+            return repetitions_for(c, bits - 1, recall, seed, trials, many)
         keys = [cgk_keys(v, s[:-1], np.minimum(s[1:], s[:-1] + c.length), c.length, bits, r, seed) for v, s in zip(both, spans)]
         met |= keys[0] == keys[1]
         r += 1
-    return r
+    return bits, r
 
 
 def prepare(items: list[tuple[int, str]], max_edits: float, bits: int, recall: float, seed: int) -> list[ItemClass]:
@@ -103,9 +109,9 @@ def prepare(items: list[tuple[int, str]], max_edits: float, bits: int, recall: f
         lens = np.arange(len(c.ids) + 1) * c.length
         flat = np.concatenate(c.words)
         c.grams = np.unique(shingles(flat, lens, c.q)[0])
-        c.repetitions = repetitions_for(c, bits, recall, seed)
+        c.bits, c.repetitions = repetitions_for(c, bits, recall, seed)
         for r in range(c.repetitions):
-            keys = cgk_keys(flat, lens[:-1], lens[1:], c.length, bits, r, seed)
+            keys = cgk_keys(flat, lens[:-1], lens[1:], c.length, c.bits, r, seed)
             order = np.argsort(keys, kind="stable")
             c.tables.append((keys[order], order))
     return sorted(classes.values(), key=lambda c: c.length)
@@ -140,7 +146,7 @@ def among(values: np.ndarray, few: np.ndarray) -> np.ndarray:
     return out
 
 
-def find_leaks(hashes: np.ndarray, cuts: np.ndarray, classes: list[ItemClass], bits: int, seed: int) -> list[tuple[int, int, int, int, int]]:
+def find_leaks(hashes: np.ndarray, cuts: np.ndarray, classes: list[ItemClass], seed: int) -> list[tuple[int, int, int, int, int]]:
     """(text, item id, edits, first word, words) of the best place of every item in every text that holds it."""
     if not len(hashes):
         return []
@@ -174,14 +180,14 @@ def find_leaks(hashes: np.ndarray, cuts: np.ndarray, classes: list[ItemClass], b
                 lo, hi = np.minimum(starts, gb - ga), np.minimum(starts + c.length - q + 1, gb - ga)
                 starts = np.flatnonzero(mine[hi] - mine[lo] >= c.least)
                 if len(starts):
-                    out += [(int(d), *x) for x in _search(hashes[a:b], starts, c, bits, seed)]
+                    out += [(int(d), *x) for x in _search(hashes[a:b], starts, c, seed)]
     return out
 
 
-def _search(text: np.ndarray, starts: np.ndarray, c: ItemClass, bits: int, seed: int) -> list[tuple[int, int, int, int]]:
+def _search(text: np.ndarray, starts: np.ndarray, c: ItemClass, seed: int) -> list[tuple[int, int, int, int]]:
     ends, pairs = np.minimum(starts + c.length, len(text)), set()
     for r, (keys, owner) in enumerate(c.tables):
-        own = cgk_keys(text, starts, ends, c.length, bits, r, seed)
+        own = cgk_keys(text, starts, ends, c.length, c.bits, r, seed)
         lo, hi = np.searchsorted(keys, own, side="left"), np.searchsorted(keys, own, side="right")
         for w in np.flatnonzero(hi > lo):
             pairs.update((int(owner[k]), int(starts[w])) for k in range(lo[w], hi[w]))
@@ -231,7 +237,7 @@ def mark_leaks(
                 leaks: list[list[dict]] = batch.column("leaks").to_pylist()
                 if shared.value:
                     spans: dict[int, list[tuple[int, int]]] = {}
-                    for d, item, edits, first, n in find_leaks(*words(column), shared.value, bits, seed):
+                    for d, item, edits, first, n in find_leaks(*words(column), shared.value, seed):
                         if d not in spans:
                             spans[d] = [m.span() for m in WORD.finditer(column[d].as_py())]
                         leaks[d].append({"item_id": item, "edits": edits, "start_char": spans[d][first][0], "end_char": spans[d][first + n - 1][1], "start_word": first, "n_words": n})

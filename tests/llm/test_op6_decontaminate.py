@@ -77,3 +77,11 @@ def test_edges(spark):
     assert got == {(1, (1, 2)), (2, ()), (3, ()), (None, (1, 2)), (4, ())}
     assert mark_leaks(docs, items).count() == 6 and mark_leaks(docs, items, item_block=1).filter("size(leaks) = 2").count() == 3
     assert mark_leaks(docs.limit(0), items).count() == 0 and mark_leaks(docs, items.limit(0)).filter("size(leaks) > 0").count() == 0
+
+
+def test_long_items(spark):
+    rng = random.Random(8)
+    item = [f"w{rng.randrange(500)}" for _ in range(400)]
+    rows = [(d, " ".join(["x"] * d + edited(rng, item, 60) + ["y"] * 9)) for d in range(12)]
+    got = mark_leaks(spark.createDataFrame(rows, "doc_id long, text string"), spark.createDataFrame([(1, " ".join(item))], "item_id long, text string"))
+    assert got.filter("size(leaks) = 1").count() >= 11
