@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable, Iterator
+
+import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -42,6 +45,18 @@ def licensed(df: DataFrame, policy: DataFrame, license_col: str = "license") ->
     return df.join(allowed, license_col, "left_semi")
 
 
+def score_with(examples: DataFrame, judge: str, family: str, scorer: Callable[[pd.DataFrame], pd.DataFrame], by: str = "example_id") -> DataFrame:
+    """Long scores (by, judge, judge_family, criterion, score) of a pluggable judge: scorer maps a batch of examples to (by, criterion, score)."""
+    kind = dict(examples.dtypes)[by]
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            yield scorer(batch)[[by, "criterion", "score"]]
+
+    made = examples.mapInPandas(run, f"{by} {kind}, criterion string, score int")
+    return made.select(by, F.lit(judge).alias("judge"), F.lit(family).alias("judge_family"), "criterion", "score")
+
+
 def judge_pass(scores: DataFrame, least: int = 4, judges: int = 2, by: str = "example_id") -> DataFrame:
     """(by, passed): every judge gives at least `least` on every criterion, and there are `judges` of them."""
     return scores.groupBy(by).agg((F.coalesce(F.every(F.col("score") >= least), F.lit(False)) & (F.count_distinct("judge") >= judges)).alias("passed"))

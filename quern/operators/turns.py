@@ -79,7 +79,7 @@ class TooFewRows(RuntimeError):
 
 
 def require_rows(df: DataFrame, n: int, what: str = "examples") -> DataFrame:
-    """df, settled in memory of the plan only: raises TooFewRows if it has fewer than n rows."""
+    """df; raises TooFewRows if it has fewer than n rows (it reads no more than n)."""
     got = df.limit(n).count()
     if got < n:
         raise TooFewRows(f"only wrote {got} of {n} {what}")

@@ -54,6 +54,17 @@ def discover(spark: SparkSession, root: str, name: str, depth: int = 2) -> DataF
     return spark.createDataFrame(found, "path string, depth int").orderBy("depth", "path")
 
 
+def tree_sample(spark: SparkSession, root: str, n: int = 20) -> list[str]:
+    """Up to n files below root, for a message when nothing was found; the listing is lazy and stops there."""
+    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(root)
+    fs, out = path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), []
+    if fs.exists(path):
+        files = fs.listFiles(path, True)
+        while len(out) < n and files.hasNext():
+            out.append(files.next().getPath().toString())
+    return out
+
+
 def read_markers(spark: SparkSession, pattern: str) -> DataFrame:
     """(path, value): the folder and first line of marker files that match the pattern."""
     lines = spark.read.option("wholetext", True).text(pattern).select("value", F.col("_metadata.file_path").alias("file"))

@@ -3,7 +3,7 @@ from pyspark.sql import functions as F
 
 from quern.operators import chunking, citations, decontam, dedup, gates, ledger, manifest, reports, splits
 from quern.sources import config
-from quern.sources.tables import discover, key_values, process_metrics, read_markers
+from quern.sources.tables import discover, key_values, process_metrics, read_markers, read_subset, tree_sample
 
 YAML = """model:
   repo: a/b
@@ -72,6 +72,8 @@ def test_discovery(spark, tmp_path):
         (tmp_path / d / "REVISION.txt").write_text(f"org/m {sha}\n")
     found = [(r.depth, r.path.split(str(tmp_path))[1]) for r in discover(spark, f"file://{tmp_path}", "REVISION.txt").collect()]
     assert found == [(1, "/b/REVISION.txt"), (2, "/a/x/REVISION.txt")]
+    assert len(tree_sample(spark, f"file://{tmp_path}", 2)) == 2 and tree_sample(spark, f"file://{tmp_path}/none") == []
+    assert read_subset(spark, f"file://{tmp_path}", "REV*").count() == 3
     markers = read_markers(spark, f"file://{tmp_path}/*/*/REVISION.txt").unionAll(read_markers(spark, f"file://{tmp_path}/*/REVISION.txt"))
     models = spark.createDataFrame([("org/m", "s1"), ("org/m", "s9")], "repo string, revision string")
     got = {r.source.split("/")[-1]: r.revision for r in manifest.resolve_sources(models, markers).collect()}
@@ -175,3 +177,13 @@ def test_assembly(spark):
     assert [r.doc_id for r in assembly.excluding(d, d.filter("doc_id = 1"), "doc_id").collect()] == [2]
     assert assembly.share_reached(d, F.col("text") == "a", 0.8).first() == (0.5, False)
     assert assembly.sampled_rate(d, F.col("text") == "a", 200).first() == (2, 0.5)
+
+
+def test_pluggable_judge(spark):
+    def scorer(batch):
+        rows = [(i, c, 5 if "good" in t else 1) for i, t in zip(batch["example_id"], batch["text"]) for c in ("clarity", "truth")]
+        return __import__("pandas").DataFrame(rows, columns=["example_id", "criterion", "score"])
+
+    e = spark.createDataFrame([(1, "good"), (2, "bad")], "example_id int, text string")
+    scores = gates.score_with(e, "a", "x", scorer).unionByName(gates.score_with(e, "b", "y", scorer))
+    assert {r.example_id: r.passed for r in gates.judge_pass(scores).collect()} == {1: True, 2: False}
