@@ -9,7 +9,7 @@ SEED = 3407
 
 
 def draw(id_col: str, seed: int = SEED) -> Column:
-    return F.md5(F.concat(F.lit(f"{seed}:"), F.col(id_col).cast("string")))
+    return F.md5(F.concat(F.lit(f"{seed}:"), F.coalesce(F.col(id_col).cast("string"), F.lit(""))))
 
 
 def ranked(df: DataFrame, by: str, coarse: Column, order: list[Column]) -> DataFrame:
@@ -24,7 +24,9 @@ def ranked(df: DataFrame, by: str, coarse: Column, order: list[Column]) -> DataF
     counts = wide.groupBy("__key", "__part").agg(F.count(F.lit(1)).alias("__c"))
     counts = counts.withColumn("__before", F.sum("__c").over(group.orderBy("__part")) - F.col("__c")).withColumn("__n", F.sum("__c").over(group)).drop("__c")
     inside = F.row_number().over(Window.partitionBy("__key", "__part").orderBy(*order))
-    return wide.join(counts, ["__key", "__part"]).withColumn("__rank", F.col("__before") + inside).drop("__key", "__part", "__before")
+    counts = counts.withColumnsRenamed({"__key": "__k", "__part": "__p"})
+    both = wide.join(counts, (F.col("__key") == F.col("__k")) & F.col("__part").eqNullSafe(F.col("__p")))
+    return both.withColumn("__rank", F.col("__before") + inside).drop("__key", "__part", "__before", "__k", "__p")
 
 
 def holdout(df: DataFrame, stratum: str, share: float = 0.1, newest_first: str | None = None, id_col: str = "doc_id", seed: int = SEED) -> DataFrame:

@@ -133,6 +133,13 @@ def test_splits_are_stable_under_repartition(spark):
     assert {r.s: round(r.share, 2) for r in splits.shares(d, "s").collect()} == {0: 0.34, 1: 0.33, 2: 0.33}
 
 
+def test_ranks_keep_null_ids_groups_and_dates(spark):
+    d = spark.createDataFrame([(1, None, None), (None, "a", 3), (2, "a", None), (3, "a", 5), (None, None, 1)], "doc_id long, s string, day int")
+    assert splits.holdout(d, "s").count() == 5 and splits.holdout(d, "s", newest_first="day").count() == 5
+    got = {(r.doc_id, r.s, r.held_out) for r in splits.holdout(d, "s", 0.34, newest_first="day").collect()}
+    assert (3, "a", True) in got or sum(h for _, s, h in got if s == "a") == 1
+
+
 def test_ledger(spark):
     e = spark.createDataFrame([(1, "c1", "todo", 5), (2, "c1", "done", 6), (3, "c2", "todo", 5)], "event_id int, chunk string, status string, n int").withColumn("ts", F.to_timestamp(F.concat(F.lit("2024-01-01 00:00:0"), "event_id")))
     assert {(r.chunk, r.status) for r in ledger.latest(e, ["chunk"]).collect()} == {("c1", "done"), ("c2", "todo")}
