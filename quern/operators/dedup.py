@@ -1,4 +1,4 @@
-"""De-duplication of an assembled set: exact copies, md5 MinHash signatures, banding, verified pairs, one row a cluster."""
+"""De-duplication of an assembled set: exact copies, MinHash signatures, banding, verified pairs, one row a cluster."""
 
 from __future__ import annotations
 
@@ -19,12 +19,19 @@ def word_set(text: Column) -> Column:
 
 
 def signature(text: Column, seeds: int = 8) -> Column:
-    """Array of the least md5 of seed:word over the text's distinct words; md5 so that any engine gets the same. Null without words."""
-    return bound(word_set(text), lambda w: F.when(F.size(w) > 0, F.array(*[F.array_min(F.transform(w, _hashed(k))) for k in range(seeds)])))
+    """Array of MinHash minima over the text's distinct words; null without words.
+
+    One sha256 a word, of which each seed takes 8 digits: any engine gets the same, and a word is hashed once for all seeds.
+    """
+
+    def minima(h: Column) -> Column:
+        return F.when(F.size(h) > 0, F.array(*[F.array_min(F.transform(h, _digits(k))) for k in range(seeds)]))
+
+    return bound(F.transform(word_set(text), lambda x: F.sha2(x, 256)), minima)
 
 
-def _hashed(k: int):
-    return lambda x: F.md5(F.concat(F.lit(f"{k}:"), x))
+def _digits(k: int):
+    return lambda x: F.substring(x, 8 * k + 1, 8)
 
 
 def candidates(signed: DataFrame, bands: int = 4, rows: int = 2, id_col: str = "doc_id", sig: str = "sig") -> DataFrame:
@@ -40,8 +47,10 @@ def candidates(signed: DataFrame, bands: int = 4, rows: int = 2, id_col: str = "
 
 
 def verified(pairs: DataFrame, docs: DataFrame, least: float = 0.8, id_col: str = "doc_id", text: str = "text") -> DataFrame:
-    """(a, b, jaccard) of the pairs whose word sets are at least that similar."""
-    sets = docs.select(F.col(id_col).alias("k"), word_set(F.col(text)).alias("w"))
+    """(a, b, jaccard) of the pairs whose word sets are at least that similar; sets are made for documents in pairs alone."""
+    pairs = settled(pairs, "pairs")
+    paired = pairs.select(F.explode(F.array("a", "b")).alias("k")).distinct()
+    sets = settled(docs.select(F.col(id_col).alias("k"), F.col(text).alias("t")).join(paired, "k", "left_semi").select("k", word_set(F.col("t")).alias("w")), "sets")
     both = pairs.join(sets.withColumnsRenamed({"k": "a", "w": "wa"}), "a").join(sets.withColumnsRenamed({"k": "b", "w": "wb"}), "b")
     common = F.size(F.array_intersect("wa", "wb"))
     out = both.withColumn("jaccard", common / (F.size("wa") + F.size("wb") - common))

@@ -274,7 +274,7 @@ p AS (SELECT conv_id, u, a, trim(replace(split_part(a, '{ET}', 1), '{BT}', ''),
 k AS (SELECT conv_id, u, r, z, u <> '' AND a <> '' AND contains(a, '{ET}') AND r <> '' AND z <> '' AS ok FROM p)"""
 _WORDS = "list_filter(regexp_split_to_array(coalesce(text, ''), '[\\x20\\x09-\\x0D]+'), lambda w: w <> '')"
 _SET = "list_distinct(list_filter(regexp_split_to_array(lower(coalesce(text, '')), '[\\x20\\x09-\\x0D]+'), lambda w: w <> ''))"
-_SIG = ", ".join(f"list_min(list_transform(w, lambda x: md5('{k}:' || x)))" for k in range(8))
+_SIG = ", ".join(f"list_min(list_transform(w, lambda x: substring(sha256(x), {8 * k + 1}, 8)))" for k in range(8))
 _SIGNED = f"s AS (SELECT doc_id, w, CASE WHEN len(w) > 0 THEN [{_SIG}] END AS sig FROM (SELECT doc_id, {_SET} AS w FROM documents))"
 _BANDS = f"""{_SIGNED},
 b AS (SELECT doc_id, i, sig[2 * i + 1] || sig[2 * i + 2] AS h FROM s, range(4) t(i) WHERE sig IS NOT NULL),
