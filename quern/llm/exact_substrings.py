@@ -194,7 +194,7 @@ def answers_of_shard(pdf: pd.DataFrame, length: int) -> pd.DataFrame:
 
 
 def remove_repeats(
-    docs: DataFrame, length: int = 50, chunk_bytes: int = 1 << 20, shard_bytes: int = 4 << 20, id_col: str = "doc_id", text_col: str = "text"
+    docs: DataFrame, length: int = 50, chunk_bytes: int = 1 << 20, shard_bytes: int = 3 << 20, id_col: str = "doc_id", text_col: str = "text"
 ) -> DataFrame:
     """One row per document: id_col, n_bytes, n_removed, spans array<struct<start, end>> (bytes, end exclusive), kept_sha256.
 
@@ -286,12 +286,15 @@ def remove_repeats(
         for batch in batches:
             for number, data, _, _, seg, order, first, least in reopened(batch):
                 mine = order[first]
+                lens = seg["count"][mine] + length - 1
                 cuts = np.searchsorted(seg["shard"][mine], np.arange(shards + 1))
-                for k in np.flatnonzero(np.diff(cuts)):
-                    own = mine[cuts[k] : cuts[k + 1]]
-                    lens = seg["count"][own] + length - 1
-                    blobs = [seg["content"][own].astype("<u8").tobytes(), seg["anchor"][own].astype("<u8").tobytes(), seg["count"][own].astype("<i8").tobytes(), least[cuts[k] : cuts[k + 1]].astype("<i8").tobytes(), data[_slices(seg["start"][own], lens)].tobytes()]
-                    yield pa.RecordBatch.from_arrays([pa.array([number]), pa.array([int(k)]), *[pa.array([b], pa.binary()) for b in blobs]], ["chunk", "shard", "content", "anchors", "counts", "ids", "bytes"])
+                some = np.flatnonzero(np.diff(cuts))
+                bounds = np.concatenate([[0], np.cumsum(lens)])
+                joined = data[_slices(seg["start"][mine], lens)].tobytes()
+                words = [x.tobytes() for x in (seg["content"][mine].astype("<u8"), seg["anchor"][mine].astype("<u8"), seg["count"][mine].astype("<i8"), least.astype("<i8"))]
+                columns = [pa.array([w[8 * cuts[k] : 8 * cuts[k + 1]] for k in some], pa.binary()) for w in words]
+                columns.append(pa.array([joined[bounds[cuts[k]] : bounds[cuts[k + 1]]] for k in some], pa.binary()))
+                yield pa.RecordBatch.from_arrays([pa.array([number] * len(some), pa.int64()), pa.array(some, pa.int64()), *columns], ["chunk", "shard", "content", "anchors", "counts", "ids", "bytes"])
 
     flagged = chunks.join(often, "chunk", "left")
     sent = flagged.mapInArrow(send_segments, "chunk long, shard long, content binary, anchors binary, counts binary, ids binary, bytes binary")
