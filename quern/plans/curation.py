@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..operators import assembly, chat, chunking, citations, decontam, dedup, folds, gates, guard, ledger, manifest, reports, splits, turns
-from ..sources.tables import clean_pages
+from ..sources.tables import clean_pages, spread
 from .relational import table
 
 BT, ET, BS, ES = turns.BEGIN_THOUGHT, turns.END_THOUGHT, turns.BEGIN_SOLUTION, turns.END_SOLUTION
@@ -91,7 +91,7 @@ def exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _signed(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return table(spark, sf_dir, "documents").select("doc_id", dedup.signature(F.col("text")).alias("sig"))
+    return spread(table(spark, sf_dir, "documents")).select("doc_id", dedup.signature(F.col("text")).alias("sig"))
 
 
 def minhash_signature(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -103,12 +103,12 @@ def lsh_candidates(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def near_dup_pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
-    found = dedup.verified(dedup.candidates(_signed(spark, sf_dir)), table(spark, sf_dir, "documents"))
+    found = dedup.verified(dedup.candidates(_signed(spark, sf_dir)), spread(table(spark, sf_dir, "documents")))
     return found.select("a", "b", F.round("jaccard", 6).alias("jaccard"))
 
 
 def decontam_13gram(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return decontam.contaminated(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+    return decontam.contaminated(spread(table(spark, sf_dir, "documents")), table(spark, sf_dir, "benchmark"))
 
 
 def embed_screen(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -117,11 +117,11 @@ def embed_screen(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def chunk_words(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return chunking.chunk_words(table(spark, sf_dir, "documents")).select("doc_id", "chunk_ix", F.md5("chunk_text").alias("chunk_hash"), "n_words")
+    return chunking.chunk_words(spread(table(spark, sf_dir, "documents"))).select("doc_id", "chunk_ix", F.md5("chunk_text").alias("chunk_hash"), "n_words")
 
 
 def chunk_paragraphs(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return chunking.chunk_paragraphs(table(spark, sf_dir, "documents"), 512).select("doc_id", "chunk_ix", "chunk_id", "n_tokens")
+    return chunking.chunk_paragraphs(spread(table(spark, sf_dir, "documents")), 512).select("doc_id", "chunk_ix", "chunk_id", "n_tokens")
 
 
 def holdout_split(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -201,7 +201,7 @@ def snapshot_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def page_ingest(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return clean_pages(table(spark, sf_dir, "pages")).select("page_id", "host", "url", F.length("text").cast("long").alias("n_text"), F.md5("text").alias("text_hash"))
+    return clean_pages(spread(table(spark, sf_dir, "pages"))).select("page_id", "host", "url", F.length("text").cast("long").alias("n_text"), F.md5("text").alias("text_hash"))
 
 
 def think_history(spark: SparkSession, sf_dir: str) -> DataFrame:

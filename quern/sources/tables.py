@@ -17,6 +17,15 @@ def rows_source(spark: SparkSession, rows: Iterable[dict], schema: str | StructT
     return spark.createDataFrame(list(rows), schema)
 
 
+def spread(df: DataFrame) -> DataFrame:
+    """df, dealt out anew only if its scan has fewer partitions than there are cores; a large input stays where it is.
+
+    A small table may be one file of one row group, which one task would otherwise work on alone.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores) if df._jdf.queryExecution().toRdd().getNumPartitions() < cores else df
+
+
 def read_jsonl(spark: SparkSession, path: str, schema: str | StructType, own: bool = False) -> DataFrame:
     """JSON lines under an explicit schema. Foreign files keep bad lines in _corrupt_record; our own files fail on one."""
     s = StructType.fromDDL(schema) if isinstance(schema, str) else schema
