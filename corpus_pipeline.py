@@ -14,6 +14,7 @@ from quern.llm.jaccard import keep_one
 from quern.llm.line_dedup import drop_boilerplate
 from quern.llm.mixing import take_mix
 from quern.llm.quality import label_grade, select_quality
+from quern.sources.tables import spread
 
 
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -50,7 +51,7 @@ ORACLE_SQL = None
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All stages over documents, each one's result written to the shared folder and read by the next."""
-    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    docs = spread(spark.read.parquet(f"{sf_dir}/documents.parquet"))
     for name, stage in STAGES[:-1]:
         docs = settle(stage(spark, docs, sf_dir), name)
     return STAGES[-1][1](spark, docs, sf_dir)

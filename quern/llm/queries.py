@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..sources.tables import spread
 from .decontaminate import mark_leaks
 from .exact_substrings import remove_repeats
 from .jaccard import jaccard_groups
@@ -18,7 +19,7 @@ from .topk import exact_top_k
 
 
 def _read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{table}.parquet")
+    return spread(spark.read.parquet(f"{sf_dir}/{table}.parquet"))
 
 
 def op1_language(spark: SparkSession, sf_dir: str) -> DataFrame:
