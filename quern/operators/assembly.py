@@ -62,9 +62,11 @@ def share_reached(df: DataFrame, what: Column, least: float = 0.8) -> DataFrame:
 
 def without_near_copies(docs: DataFrame, least: float = 0.8, id_col: str = "doc_id", text: str = "text") -> DataFrame:
     """docs without the rows that a row with a smaller id is verified to be near: banding, then word sets."""
-    signed = docs.select(id_col, dedup.signature(F.col(text)).alias("sig"))
-    gone = dedup.verified(dedup.candidates(signed, id_col=id_col), docs, least, id_col, text).select(F.col("b").alias(id_col)).distinct()
-    return docs.join(gone, id_col, "left_anti")
+    members, classes, pairs = dedup.near_classes(docs, least, id_col, text)
+    copies = members.join(classes.filter("copies > 1"), "k").filter(F.col("id") > F.col("first")).select("id")
+    firsts = classes.select("k", "first")
+    near = pairs.join(firsts.withColumnsRenamed({"k": "a", "first": "x"}), "a").join(firsts.withColumnsRenamed({"k": "b", "first": "y"}), "b").filter("x <> y").select(F.greatest("x", "y").alias("id"))
+    return docs.join(copies.union(near).distinct().withColumnRenamed("id", id_col), id_col, "left_anti")
 
 
 def assemble(docs: DataFrame, protected: DataFrame, quotas: dict[str, int], stratum: str, stream: str, floors: dict[str, Column], most_chars: int = 32_768) -> DataFrame:

@@ -34,16 +34,36 @@ def _digits(k: int):
     return lambda x: F.substring(x, 8 * k + 1, 8)
 
 
-def candidates(signed: DataFrame, bands: int = 4, rows: int = 2, id_col: str = "doc_id", sig: str = "sig") -> DataFrame:
-    """(a, b), a < b: rows that share all of some band. Rows of one band hash are paired with the smallest of them only.
+def pairs_within(rows: DataFrame, key: str, id_col: str, carried: tuple[str, ...] = (), block_rows: int = 1024) -> DataFrame:
+    """(a, b, and each carried column as x_a and x_b), a < b: all pairs of rows with the same key; rows is read twice.
 
-    A bucket of n rows gives n - 1 pairs, not n * n: a star keeps its rows connected. Which pairs of a bucket are similar is
-    for verification, so this is for clusters, where near copies agree with their bucket's first row.
+    A key of many rows is cut into blocks of about block_rows, and every block meets every block in a task key of its own.
     """
-    band = F.explode(F.transform(F.sequence(F.lit(0), F.lit(bands - 1)), lambda i: F.concat_ws("|", i, F.array_join(F.slice(sig, i * rows + 1, rows), "|"))))
-    keyed = settled(signed.filter(F.col(sig).isNotNull()).select(id_col, band.alias("band")), "bands")
-    first = keyed.groupBy("band").agg(F.min(id_col).alias("a"), F.count(F.lit(1)).alias("n")).filter("n > 1").drop("n")
-    return keyed.join(first, "band").filter(F.col(id_col) > F.col("a")).select("a", F.col(id_col).alias("b")).distinct()
+    met = rows.groupBy(key).agg(F.count(F.lit(1)).alias("met")).filter("met > 1")
+    each = rows.join(met, key).withColumn("blocks", F.ceil(F.col("met") / block_rows).cast("int")).withColumn("own", F.pmod(F.xxhash64(id_col), F.col("blocks")).cast("int"))
+    every = F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))
+    left = each.select(key, F.col(id_col).alias("a"), *[F.col(c).alias(f"{c}_a") for c in carried], F.col("own").alias("p"), every.alias("q"))
+    right = each.select(key, F.col(id_col).alias("b"), *[F.col(c).alias(f"{c}_b") for c in carried], every.alias("p"), F.col("own").alias("q"))
+    return left.join(right, [key, "p", "q"]).filter("a < b").drop("p", "q")
+
+
+def candidates(signed: DataFrame, bands: int = 4, rows: int = 2, id_col: str = "doc_id", sig: str = "sig", block_rows: int = 1024) -> DataFrame:
+    """(a, b), a < b: all pairs of rows that share all of some band, by 64-bit hashes of the bands.
+
+    A bucket of n rows holds n * (n - 1) / 2 pairs, compared in blocks; a pair leaves the first band that it shares only.
+    Where only similar texts matter, near_classes compares each distinct word set once.
+    """
+    return _banded(signed, bands, rows, id_col, sig, block_rows)
+
+
+def _banded(signed: DataFrame, bands: int, rows: int, id_col: str, sig: str, block_rows: int, carried: tuple[str, ...] = (), keep: Column | None = None) -> DataFrame:
+    own = [F.xxhash64(F.lit(i), F.array_join(F.slice(sig, i * rows + 1, rows), "|")).alias(f"h{i}") for i in range(bands)]
+    hashes = [f"h{i}" for i in range(bands)]
+    known = signed.filter(F.col(sig).isNotNull() & F.col(id_col).isNotNull()).select(id_col, *own, *carried)
+    keyed = settled(known.select("*", F.explode(F.array(*hashes)).alias("band")), "bands")
+    met = pairs_within(keyed, "band", id_col, (*hashes, *carried), block_rows)
+    first = F.coalesce(*[F.when(F.col(f"{h}_a") == F.col(f"{h}_b"), F.col(f"{h}_a")) for h in hashes])
+    return met.filter((F.col("band") == first) & (F.lit(True) if keep is None else keep)).select("a", "b").distinct()
 
 
 def verified(pairs: DataFrame, docs: DataFrame, least: float = 0.8, id_col: str = "doc_id", text: str = "text") -> DataFrame:
@@ -51,7 +71,57 @@ def verified(pairs: DataFrame, docs: DataFrame, least: float = 0.8, id_col: str
     pairs = settled(pairs, "pairs")
     paired = pairs.select(F.explode(F.array("a", "b")).alias("k")).distinct()
     sets = settled(docs.select(F.col(id_col).alias("k"), F.col(text).alias("t")).join(paired, "k", "left_semi").select("k", word_set(F.col("t")).alias("w")), "sets")
+    return _similar(pairs, sets, least)
+
+
+def _similar(pairs: DataFrame, sets: DataFrame, least: float) -> DataFrame:
     both = pairs.join(sets.withColumnsRenamed({"k": "a", "w": "wa"}), "a").join(sets.withColumnsRenamed({"k": "b", "w": "wb"}), "b")
     common = F.size(F.array_intersect("wa", "wb"))
     out = both.withColumn("jaccard", common / (F.size("wa") + F.size("wb") - common))
     return out.filter(F.col("jaccard") >= least).select("a", "b", "jaccard")
+
+
+#: Longs of a word set's marks.
+_MARKS = 8
+
+
+def _marks(w: Column) -> list[Column]:
+    """Parities of the words by 512 places: sets whose marks differ in d places differ in d words at least."""
+    h = F.transform(w, lambda x: F.xxhash64(x))
+    own = lambda k: F.filter(h, lambda x: F.pmod(x, F.lit(_MARKS)) == k)
+    return [F.aggregate(own(k), F.lit(0).cast("long"), lambda s, x: s.bitwiseXOR(F.call_function("shiftleft", F.lit(1).cast("long"), F.pmod(F.shiftright(x, 3), F.lit(64)).cast("int")))).alias(f"m{k}") for k in range(_MARKS)]
+
+
+def near_classes(docs: DataFrame, least: float = 0.8, id_col: str = "doc_id", text: str = "text") -> tuple[DataFrame, DataFrame, DataFrame]:
+    """Classes of equal word sets, and the verified pairs of classes: members (k, id), classes (k, first, copies), pairs (a, b, jaccard of k).
+
+    Copies collapse before banding, so each distinct word set is compared once. Pairs that differ in more words than `least`
+    allows, by their marks, which lose nothing, are passed over before sets are fetched. Rows without words or with a null id
+    take no part.
+    """
+    print_of = lambda w: F.sha2(F.array_join(F.array_sort(w), " "), 256)
+    signed = docs.filter(F.col(id_col).isNotNull()).select(F.col(id_col).alias("id"), F.col(text).alias("t"))
+    signed = settled(signed.select("id", print_of(word_set(F.col("t"))).alias("print"), signature(F.col("t")).alias("sig")).filter("sig is not null"), "signed")
+    classes = signed.groupBy("print").agg(F.min("id").alias("first"), F.count(F.lit(1)).alias("copies"), F.first("sig").alias("sig"))
+    classes = settled(classes.withColumn("k", F.monotonically_increasing_id()), "classes")
+    members = settled(signed.join(classes.select("print", "k"), "print").select("k", "id").distinct(), "members")
+    own = docs.select(F.col(id_col).alias("first"), F.col(text).alias("t")).join(classes.select("k", "first", "print"), "first").select("k", "print", word_set(F.col("t")).alias("w"))
+    own = own.filter(F.col("print") == print_of(F.col("w")))  # an id may be on rows of several texts
+    marks = [f"m{k}" for k in range(_MARKS)]
+    sized = settled(own.select("k", F.size("w").alias("n"), *_marks(F.col("w"))).distinct().join(classes.select("k", "sig"), "k"), "marks")
+    differ = sum((F.bit_count(F.col(f"{m}_a").bitwiseXOR(F.col(f"{m}_b"))) for m in marks), F.lit(0))
+    keep = differ * (1 + least) <= (F.col("n_a") + F.col("n_b")) * (1 - least) + 1e-6
+    pairs = settled(_banded(sized, 4, 2, "k", "sig", 1024, ("n", *marks), keep), "pairs")
+    paired = classes.select("k", "first", "print").join(pairs.select(F.explode(F.array("a", "b")).alias("k")).distinct(), "k", "left_semi")
+    texts = docs.select(F.col(id_col).alias("first"), F.col(text).alias("t")).join(paired, "first").select("k", "print", word_set(F.col("t")).alias("w"))
+    sets = settled(texts.filter(F.col("print") == print_of(F.col("w"))).select("k", "w").dropDuplicates(["k"]), "sets")
+    return members, classes.select("k", "first", "copies"), _similar(pairs, sets, least)
+
+
+def near_pairs(docs: DataFrame, least: float = 0.8, id_col: str = "doc_id", text: str = "text") -> DataFrame:
+    """(a, b, jaccard), a < b: all pairs of rows that share a band and whose word sets are at least that similar, copies included."""
+    members, classes, pairs = near_classes(docs, least, id_col, text)
+    equal = pairs_within(members.join(classes.filter("copies > 1"), "k", "left_semi"), "k", "id").select("a", "b", F.lit(1.0).alias("jaccard"))
+    one, other = members.withColumnsRenamed({"k": "a", "id": "x"}), members.withColumnsRenamed({"k": "b", "id": "y"})
+    across = pairs.join(one, "a").join(other, "b").filter("x <> y").select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b"), "jaccard")
+    return equal.unionByName(across)

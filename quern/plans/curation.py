@@ -103,7 +103,7 @@ def lsh_candidates(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def near_dup_pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
-    found = dedup.verified(dedup.candidates(_signed(spark, sf_dir)), spread(table(spark, sf_dir, "documents")))
+    found = dedup.near_pairs(spread(table(spark, sf_dir, "documents")))
     return found.select("a", "b", F.round("jaccard", 6).alias("jaccard"))
 
 
