@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import numpy as np
+import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -30,19 +32,37 @@ def contaminated(docs: DataFrame, protected: DataFrame, id_col: str = "doc_id",
     return ngrams(docs, id_col, text, n).join(guard, "gram", "left_semi").groupBy(id_col).agg(F.count(F.lit(1)).alias("n_shared"))
 
 
-def similarity_screen(vectors: DataFrame, protected: DataFrame, threshold: float, id_col: str = "vec_id", vector: str = "embedding") -> DataFrame:
+def similarity_screen(vectors: DataFrame, protected: DataFrame, threshold: float, id_col: str = "vec_id", vector: str = "embedding", block_rows: int = 2048) -> DataFrame:
     """(id_col, n_near): rows with protected vectors at a cosine of at least `threshold`, a calibrated parameter.
 
-    The protected set is stated and bounded, so it is gathered to one array of unit vectors and travels with the rows; a row
-    is compared in place, and no pair is ever a row.
+    Both sides are cut into blocks of about block_rows, and every block of vectors meets every block of protected ones in a
+    task of its own: no set is gathered whole, and counts leave a task, never pairs. Null ids, null vectors and vectors with
+    null elements are near nothing, nor are vectors of different lengths.
     """
 
-    def unit(v):
-        norm = F.sqrt(F.aggregate(v, F.lit(0.0), lambda a, x: a + x.cast("double") * x.cast("double")))
-        return F.transform(v, lambda x: F.when(norm > 0, x.cast("double") / norm).otherwise(0.0))
+    def blocks(df: DataFrame) -> tuple[DataFrame, int]:
+        v = F.transform(vector, lambda x: x.cast("double"))
+        known = df.select(F.col(id_col).alias("id"), v.alias("v")).filter("id is not null and v is not null and not exists(v, x -> x is null)")
+        n = max(1, -(-known.count() // block_rows))
+        return known.select("id", "v", F.size("v").alias("dim"), F.pmod(F.xxhash64("id"), F.lit(n)).alias("own")), n
 
-    guard = protected.select(F.col(id_col).alias("id"), unit(F.col(vector)).alias("v")).agg(F.collect_list(F.struct("id", "v")).alias("guard"))
-    wide = vectors.select(id_col, unit(F.col(vector)).alias("u")).join(F.broadcast(guard), F.lit(True))
-    dot = lambda g: F.aggregate(F.zip_with("u", g["v"], lambda a, b: a * b), F.lit(0.0), lambda s, x: s + x)
-    near = F.size(F.filter("guard", lambda g: (g["id"] != F.col(id_col)) & (dot(g) >= threshold))).cast("long")
-    return wide.select(id_col, near.alias("n_near")).filter("n_near > 0")
+    (rows, n), (guard, m) = blocks(vectors), blocks(protected)
+    each = lambda k: F.explode(F.sequence(F.lit(0).cast("long"), F.lit(k - 1).cast("long")))
+    rows = rows.select("id", "v", "dim", F.col("own").alias("p"), each(m).alias("q"))
+    guard = guard.select("id", "v", "dim", each(n).alias("p"), F.col("own").alias("q"))
+
+    def unit(v: pd.Series) -> np.ndarray:
+        x = np.stack(v.to_numpy()).astype(np.float64)
+        norm = np.sqrt((x * x).sum(1, keepdims=True))
+        return np.divide(x, norm, out=np.zeros_like(x), where=norm > 0)
+
+    def screen(a: pd.DataFrame, b: pd.DataFrame) -> pd.DataFrame:
+        if not len(a) or not len(b):
+            return pd.DataFrame({"id": a["id"][:0], "near": np.zeros(0, dtype=np.int64)})
+        near = (unit(a["v"]) @ unit(b["v"]).T >= threshold) & (a["id"].to_numpy()[:, None] != b["id"].to_numpy()[None, :])
+        counts = near.sum(1).astype(np.int64)
+        return pd.DataFrame({"id": a["id"][counts > 0], "near": counts[counts > 0]})
+
+    key = ["dim", "p", "q"]
+    found = rows.groupBy(*key).cogroup(guard.groupBy(*key)).applyInPandas(screen, f"id {rows.schema['id'].dataType.simpleString()}, near long")
+    return found.groupBy(F.col("id").alias(id_col)).agg(F.sum("near").alias("n_near"))

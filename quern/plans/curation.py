@@ -113,7 +113,7 @@ def decontam_13gram(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def embed_screen(spark: SparkSession, sf_dir: str) -> DataFrame:
     v = table(spark, sf_dir, "embeddings")
-    return decontam.similarity_screen(v, v.filter("label = 0 AND vec_id < 500"), 0.35)
+    return decontam.similarity_screen(v, v.filter("label = 0"), 0.35)
 
 
 def chunk_words(spark: SparkSession, sf_dir: str) -> DataFrame:

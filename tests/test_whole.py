@@ -4,7 +4,9 @@ import itertools
 
 from pyspark.sql import functions as F
 
-from quern.operators import assembly, dedup
+from quern.operators import assembly, decontam, dedup
+from quern.plans import curation
+from tests.compare import of_spark, oracle
 
 
 def test_all_pairs_of_a_bucket(spark):
@@ -22,3 +24,12 @@ def test_all_pairs_of_a_bucket(spark):
     assert sorted((r.a, r.b) for r in dedup.near_pairs(d).collect()) == sorted(near)
     gone = {b for _, b in near}
     assert sorted(r.doc_id for r in assembly.without_near_copies(d).collect()) == sorted(set(sets) - gone)
+
+
+def test_screen_takes_every_protected_vector(spark):
+    whole = """SELECT v.vec_id, count(*) AS n_near FROM embeddings v JOIN embeddings p ON p.label = 0 AND p.vec_id <> v.vec_id
+        WHERE list_cosine_similarity(v.embedding::DOUBLE[], p.embedding::DOUBLE[]) >= 0.35 GROUP BY v.vec_id"""
+    sf = "/root/testdata/sf0.1"
+    assert of_spark(curation.embed_screen(spark, sf)) == oracle(whole, sf)
+    v = spark.read.parquet(f"{sf}/embeddings.parquet")
+    assert of_spark(decontam.similarity_screen(v, v.filter("label = 0"), 0.35, block_rows=100)) == oracle(whole, sf)
