@@ -1,10 +1,11 @@
 """Cases that a cut by bucket, id, prefix or position would lose."""
 
 import itertools
+import random
 
 from pyspark.sql import functions as F
 
-from quern.operators import assembly, decontam, dedup
+from quern.operators import assembly, citations, decontam, dedup
 from quern.plans import curation
 from tests.compare import of_spark, oracle
 
@@ -33,3 +34,27 @@ def test_screen_takes_every_protected_vector(spark):
     assert of_spark(curation.embed_screen(spark, sf)) == oracle(whole, sf)
     v = spark.read.parquet(f"{sf}/embeddings.parquet")
     assert of_spark(decontam.similarity_screen(v, v.filter("label = 0"), 0.35, block_rows=100)) == oracle(whole, sf)
+
+
+def test_citations_spoiled_anywhere(spark):
+    rng, work = random.Random(5), "AIR 1978 SC 597 Maneka"
+    spoiled = [work[:i] + "#" + work[i + 1 :] for i in range(len(work))] + [work[:i] + work[i + 1 :] for i in range(len(work))] + ["##" + work, "a", "", "xy", "abcd"]
+    for _ in range(60):
+        t = list(work)
+        for _ in range(rng.randrange(1, 4)):
+            k = rng.randrange(len(t))
+            t[k : k + 1] = rng.choice([[], ["#"], [t[k], "%"]])
+        spoiled.append("".join(t))
+    works = [work, "abc", "IPC 302"]
+
+    def edits(a, b):
+        row = list(range(len(b) + 1))
+        for i, x in enumerate(a, 1):
+            last, row[0] = row[0], i
+            for j, y in enumerate(b, 1):
+                last, row[j] = row[j], min(row[j] + 1, row[j - 1] + 1, last + (x != y))
+        return row[-1]
+
+    c = spark.createDataFrame(list(enumerate(spoiled)), "example_id long, citation string")
+    got = {r.example_id: r.ok for r in citations.verify(c, spark.createDataFrame([(w,) for w in works], "citation string")).collect()}
+    assert got == {i: any(edits(x, w) <= 2 for w in works) for i, x in enumerate(spoiled)}
