@@ -170,12 +170,14 @@ def fuse(
 def page_evidence(pages: DataFrame) -> DataFrame:
     """page_id, text, declared, suffix, host and domain of raw pages (page_id, url, html).
 
-    The declared language is the lang attribute of the html element, else a content-language meta element. Text is what is
-    outside tags, scripts and styles. The suffix is the host's last label, the domain its last two.
+    The declared language is the lang attribute of the html element, else a content-language meta element, wherever they stand
+    outside comments, scripts and styles. Text is what is outside tags, scripts and styles. The suffix is the host's last
+    label, the domain its last two.
     """
-    html, first = F.col("html"), F.substr(F.col("html"), F.lit(1), F.lit(4096))
-    attribute = F.regexp_extract(first, r"(?is)<html\b[^>]*?\blang\s*=\s*[\"']?([a-z]{2,3})\b", 1)
-    meta = F.regexp_extract(first, r"(?is)<meta\b[^>]*?content-language[^>]*?content\s*=\s*[\"']?([a-z]{2,3})\b", 1)
+    html = F.col("html")
+    bare = F.regexp_replace(html, r"(?is)<(script|style)\b[^>]*>.*?</\1\s*>|<!--.*?-->", " ")
+    attribute = F.regexp_extract(bare, r"(?is)<html\b[^>]*?\blang\s*=\s*[\"']?([a-z]{2,3})\b", 1)
+    meta = F.regexp_extract(bare, r"(?is)<meta\b[^>]*?content-language[^>]*?content\s*=\s*[\"']?([a-z]{2,3})\b", 1)
     text = F.regexp_replace(html, r"(?is)<(script|style)\b[^>]*>.*?</\1\s*>|<!--.*?-->|<[^>]*>", " ")
     host = F.nullif(F.lower(F.regexp_extract("url", r"(?i)^[a-z][a-z0-9+.-]*://(?:[^/?#@]*@)?([^/?#:]+)", 1)), F.lit(""))
     suffix = F.nullif(F.regexp_extract(host, r"\.([a-z]{2,24})$", 1), F.lit(""))
