@@ -22,8 +22,11 @@ def spread(df: DataFrame) -> DataFrame:
 
     A small table may be one file of one row group, which one task would otherwise work on alone.
     """
+    plan = getattr(df, "_jdf", None)
+    if plan is None:  # a remote session plans on the server
+        return df
     cores = df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(cores) if df._jdf.queryExecution().toRdd().getNumPartitions() < cores else df
+    return df.repartition(cores) if plan.queryExecution().toRdd().getNumPartitions() < cores else df
 
 
 def read_jsonl(spark: SparkSession, path: str, schema: str | StructType, own: bool = False) -> DataFrame:

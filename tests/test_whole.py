@@ -58,12 +58,3 @@ def test_citations_spoiled_anywhere(spark):
     c = spark.createDataFrame(list(enumerate(spoiled)), "example_id long, citation string")
     got = {r.example_id: r.ok for r in citations.verify(c, spark.createDataFrame([(w,) for w in works], "citation string")).collect()}
     assert got == {i: any(edits(x, w) <= 2 for w in works) for i, x in enumerate(spoiled)}
-
-
-def test_language_declared_late(spark):
-    from quern.llm.language import page_evidence
-
-    head = "<html><head><style>" + "p{} " * 3000 + "</style><script>var a='<html lang=\"xx\">';</script>"
-    pages = [(1, "http://a.de/", "<!-- <html lang='xx'>" + "x" * 9000 + '--><html lang="de"><body>a'), (2, "http://a.fr/", head + '<meta http-equiv="content-language" content="fr"></head>b'), (3, "http://a.en/", head)]
-    got = {r.page_id: r.declared for r in page_evidence(spark.createDataFrame(pages, "page_id long, url string, html string")).collect()}
-    assert got == {1: "de", 2: "fr", 3: None}
