@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, LongType, StructField, StructType
 
 from .common import small_batches
-from .words import WORD, mix, shingles, words
+from .words import mix, shingles, word_spans, words
 
 LEAK = StructType([StructField(x, LongType()) for x in ("item_id", "edits", "start_char", "end_char", "start_word", "n_words")])
 _PAD = np.uint64(0)
@@ -239,7 +239,7 @@ def mark_leaks(
                     spans: dict[int, list[tuple[int, int]]] = {}
                     for d, item, edits, first, n in find_leaks(*words(column), shared.value, seed):
                         if d not in spans:
-                            spans[d] = [m.span() for m in WORD.finditer(column[d].as_py())]
+                            spans[d] = word_spans(column[d].as_py())
                         leaks[d].append({"item_id": item, "edits": edits, "start_char": spans[d][first][0], "end_char": spans[d][first + n - 1][1], "start_word": first, "n_words": n})
                 i = batch.schema.get_field_index("leaks")
                 marked = pa.array([sorted(x, key=lambda e: tuple(e.values())) for x in leaks], pa.list_(pa.struct([(f.name, pa.int64()) for f in LEAK])))

@@ -12,7 +12,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import settle, shared_dir, small_batches
+from ..sources.shared import shared_dir
+from .common import settle, small_batches
 from .suffixes import permuted_common_prefixes, suffix_array
 from .words import mix, text_bytes
 

@@ -15,6 +15,7 @@ from .common import key_of, settle, small_batches
 from .words import text_bytes
 
 DIM = 1 << 16
+_SLICE = 1 << 20
 
 
 @dataclass
@@ -31,20 +32,29 @@ def _trigrams(data: np.ndarray) -> np.ndarray:
 
 
 def text_scores(column: pa.Array, logs: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Sums of log P(trigram | language) for each text and language, and each text's number of trigrams."""
+    """Sums of log P(trigram | language) for each text and language, and each text's number of trigrams.
+
+    Texts are summed each for itself, in pieces that start with the text, so that a sum does not depend on its neighbours.
+    """
     data, offsets = text_bytes(column)
     sums = np.zeros((len(offsets) - 1, len(logs)))
     n = np.maximum(np.diff(offsets) - 2, 0)
-    if len(data) < 3:
-        return sums, n
-    start, stop = offsets[:-1], np.maximum(offsets[1:] - 2, offsets[:-1])
-    for a in range(0, len(data) - 2, 1 << 20):
-        grams = _trigrams(data[a : a + (1 << 20) + 2])
-        lo, hi = np.clip(start - a, 0, len(grams)), np.clip(stop - a, 0, len(grams))
-        some = np.flatnonzero(hi > lo)
-        for k in range(len(logs)):
-            total = np.concatenate([[0.0], np.cumsum(logs[k][grams])])
-            sums[some, k] += total[hi[some]] - total[lo[some]]
+    i = 0
+    while i < len(n):
+        j = max(i + 1, int(np.searchsorted(offsets, offsets[i] + _SLICE, side="right")) - 1)
+        if j > i + 1:  # several short texts at once
+            some = np.flatnonzero(n[i:j]) + i
+            if len(some):
+                grams = np.append(_trigrams(data[offsets[i] : offsets[j]]), 0)
+                at = np.column_stack([offsets[some], offsets[some] + n[some]]).ravel() - offsets[i]
+                for k in range(len(logs)):
+                    sums[some, k] = np.add.reduceat(logs[k][grams], at)[::2]
+        else:
+            for a in range(0, int(n[i]), _SLICE):
+                grams = _trigrams(data[offsets[i] + a : offsets[i] + min(a + _SLICE, int(n[i])) + 2])
+                for k in range(len(logs)):
+                    sums[i, k] += np.add.reduceat(logs[k][grams], [0])[0]
+        i = j
     return sums, n
 
 
@@ -74,7 +84,7 @@ def train_text(docs: DataFrame, max_rows: int = 4_000, smoothing: float = 0.5, i
 
     found = rows.mapInArrow(count, "lang string, counts binary").groupBy("lang").applyInPandas(add, "lang string, counts binary").collect()
     found = sorted((r[0], np.frombuffer(r[1], dtype="<i8") + smoothing) for r in found)
-    return TextModel([lang for lang, _ in found], np.array([np.log(c / c.sum()) for _, c in found], dtype=np.float32).reshape(len(found), DIM))
+    return TextModel([lang for lang, _ in found], np.array([np.log(c / c.sum()) for _, c in found]).reshape(len(found), DIM))
 
 
 def _plus(a: Column, b: Column) -> Column:
@@ -105,9 +115,11 @@ def fuse(
     Aggregates are sums of one array a group, combined before the shuffle, so a host with a third of all items is no burden;
     items meet their group's row on ids and numbers alone, never with their texts.
 
-    Null or empty text has no text evidence, a null declared language, suffix or host none of that kind: with no evidence at
-    all the overall distribution is the posterior. text_lang is null without text. Ties go to the first language by name. A
-    model without languages gives null lang and confidence. Repeated rows and null ids are ordinary; an empty table gives no rows.
+    A text of fewer than 3 bytes (null and empty ones among them) has no text evidence, adds to no soft count, and has a null
+    text_lang; a null declared language, suffix or host is no evidence of that kind. With no evidence at all the overall
+    distribution is the posterior. Whole texts count, of whatever length, and a text's scores do not depend on how items are
+    dealt out. Ties go to the first language by name. A model without languages gives null lang and confidence. Repeated rows
+    and null ids are ordinary, other columns are left out; an empty table gives no rows.
     """
     langs = model.languages
     if not langs:
@@ -122,12 +134,15 @@ def fuse(
             sums *= (np.minimum(n / 3, most_evidence) / np.maximum(n, 1))[:, None]
             sums -= sums.max(1, initial=-np.inf, keepdims=True)
             scores = pa.ListArray.from_arrays(pa.array(np.arange(0, sums.size + 1, len(langs)), pa.int32()), pa.array(sums.ravel()))
-            yield pa.RecordBatch.from_arrays([scores if c == "text" else b.column(c) for c in b.schema.names], ["scores" if c == "text" else c for c in b.schema.names])
+            rest = [c for c in b.schema.names if c != "text"]
+            yield pa.RecordBatch.from_arrays([scores, pa.array(n > 0), *[b.column(c) for c in rest]], ["scores", "spoken", *rest])
 
     rest = [f for f in items.schema.fields if f.name in (*ids, "declared", "suffix", "host", "domain")]
     schema = "text string, " + ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in rest)
     shaped = items.select("text", *[f.name for f in rest])
-    rows = settle(shaped.mapInArrow(score, schema.replace("text string", "scores array<double>", 1)).withColumn("soft", _softmax(F.col("scores"))), "language")
+    scored = shaped.mapInArrow(score, schema.replace("text string", "scores array<double>, spoken boolean", 1))
+    zero = F.array(*[F.lit(0.0)] * len(langs))
+    rows = settle(scored.withColumn("soft", F.when(F.col("spoken"), _softmax(F.col("scores"))).otherwise(zero)), "language")
 
     def summed(by: str) -> DataFrame:
         sums = F.array(*[F.sum(F.col("soft")[i]) for i in range(len(langs))])
@@ -145,7 +160,6 @@ def fuse(
 
     hosts = hosts.withColumn("hk", F.concat_ws("|", key_of(F.col("host")), key_of(F.col("domain")))).drop("host", "domain")
     wide = rows.withColumn("hk", F.concat_ws("|", key_of(F.col("host")), key_of(F.col("domain")))).join(hosts, "hk", "left").join(likelihood("declared"), "declared", "left").join(likelihood("suffix"), "suffix", "left")
-    zero = F.array(*[F.lit(0.0)] * len(langs))
 
     def without_own(sums: str) -> Column:
         return F.zip_with(F.col(sums), F.col("soft"), lambda x, own: F.greatest(x - own, F.lit(0.0)))
@@ -163,8 +177,7 @@ def fuse(
     def best(a: str) -> Column:
         return F.element_at(names, F.array_position(F.col(a), F.array_max(a)).cast("int"))
 
-    spoken = F.exists("scores", lambda x: x < 0)
-    return wide.select(*ids, best("post").alias("lang"), F.array_max("post").alias("confidence"), F.when(spoken, best("scores")).alias("text_lang"))
+    return wide.select(*ids, best("post").alias("lang"), F.array_max("post").alias("confidence"), F.when(F.col("spoken"), best("scores")).alias("text_lang"))
 
 
 def page_evidence(pages: DataFrame) -> DataFrame:

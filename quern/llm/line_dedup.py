@@ -23,13 +23,33 @@ def boilerplate_lines(docs: DataFrame, ratio: float, min_pages: int, text_col: s
     return settle(often.groupBy("key").agg(F.collect_set("m").alias("marks")), "lines")
 
 
+def _without(lines: Column, hit: Column) -> Column:
+    """lines whose mark is not in hit, blank ones always kept.
+
+    Marks are dealt into some sqrt(n) parts, so that a line is compared with one part only, however many marks there are.
+    """
+    n = F.greatest(F.ceil(F.sqrt(F.size(hit))).cast("long"), F.lit(1).cast("long"))
+
+    def kept(parts: Column) -> Column:
+        def one(line: Column) -> Column:
+            m = _mark(line)
+            return (F.trim(line) == "") | ~F.array_contains(F.element_at(parts, (F.pmod(m["a"], F.size(parts)) + 1).cast("int")), m)
+
+        return F.filter(lines, one)
+
+    parts = F.transform(F.sequence(F.lit(0).cast("long"), n - 1), lambda k: F.filter(hit, lambda m: F.pmod(m["a"], n) == k))
+    return F.element_at(F.transform(F.array(parts), kept), 1)
+
+
 def drop_boilerplate(
     docs: DataFrame, ratio: float = 0.1, min_pages: int = 3, broadcast_hosts: int = 2_000, text_col: str = "text", host_col: str = "source"
 ) -> DataFrame:
     """docs with text_col freed of the lines that more than `ratio` of their host's pages hold, and at least min_pages pages.
 
     Adds n_lines and n_removed (long). A page counts once for a line however often it holds it; every occurrence of a
-    boilerplate line goes. Lines are the pieces between line feeds and are compared exactly; blank lines always stay.
+    boilerplate line goes. Lines are the pieces between line feeds and are compared exactly; blank lines always stay. The
+    floor min_pages is part of the contract: on a host of one or two pages every line is on many of its pages, by number alone,
+    and with a floor of 1 such pages would lose all they have.
 
     Counting shuffles 128-bit marks of each page's distinct lines, summed before the shuffle, never text. Pages meet their
     host's few marks in a broadcast join while at most broadcast_hosts hosts have boilerplate, in a shuffled one beyond that.
@@ -43,7 +63,7 @@ def drop_boilerplate(
     hit = F.array_intersect(F.transform(F.filter(lines, lambda x: F.trim(x) != ""), _mark), F.col(P + "marks"))
     wide = docs.withColumn(P + "key", key_of(F.col(host_col))).join(checked_broadcast(marks, broadcast_hosts), P + "key", "left").withColumn(P + "hit", hit)
     some = F.coalesce(F.size(P + "hit"), F.lit(0)) > 0
-    kept = F.filter(lines, lambda x: (F.trim(x) == "") | ~F.array_contains(F.col(P + "hit"), _mark(x)))
+    kept = _without(lines, F.col(P + "hit"))
     n_lines = F.when(text.isNull() | (text == ""), F.lit(0)).otherwise(F.size(lines)).cast("long")
     n_removed = F.when(some, F.size(lines) - F.size(kept)).otherwise(F.lit(0)).cast("long")
     wide = wide.withColumns({P + "n": n_lines, P + "r": n_removed, P + "t": F.when(some, F.array_join(kept, "\n")).otherwise(text)})

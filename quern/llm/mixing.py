@@ -112,7 +112,7 @@ def _mix(
 
 
 def mix_to_targets(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source", **options) -> DataFrame:
-    """How many words of each document the mix takes: columns id_col, source_col, size, source_size, target, taken.
+    """How many words of each document the mix takes: columns id_col, size, source_size, target, taken, source_col.
 
     Counts documents by exact length in words, fits each source's target by `fit_counts`, and takes in each (source, length)
     the documents with the smallest seeded hash. Every document is taken a whole number of times, max_repeat at most.
@@ -120,11 +120,11 @@ def mix_to_targets(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     A group of documents of one source and length may be of any size: it is dealt by hash into buckets of about bucket_rows,
     and ranks are a bucket's offset, from counts alone, plus the rank inside the bucket. Text is read once and never shuffled.
 
-    Null text has size 0 and is taken 0 times; null sources form a source; null ids are ordinary; rows with the same id are
+    Null text has size 0 and is taken 0 times; a text of any length is one size; null sources form a source; null ids are ordinary; rows with the same id are
     separate documents; an empty table gives no rows; other columns are left out.
     """
     out = _mix(docs, id_col=id_col, text_col=text_col, source_col=source_col, **options)
-    return out.select(F.col("id").alias(id_col), F.col("source").alias(source_col), "size", "source_size", "target", "taken")
+    return out.select(F.col("id").alias(id_col), "size", "source_size", "target", "taken", F.col("source").alias(source_col))
 
 
 def take_mix(docs: DataFrame, broadcast_rows: int = 500_000, seed: int = 3407, id_col: str = "doc_id", text_col: str = "text", **options) -> DataFrame:

@@ -7,11 +7,11 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, StructField, StructType
 
-from .common import small_batches
+from .common import settle, small_batches
 from .words import mix, text_bytes, words_of_bytes
 
 #: Density steps (share of a text's bytes) of the style features.
@@ -20,8 +20,10 @@ DENSITY = np.array([1e-9, 1e-3, 5e-3, 2e-2, 8e-2, 0.2, 0.4])
 SIGNS = np.array([10, *range(33, 65), *range(91, 97), *range(123, 127)])
 #: Signs that ordinary prose hardly has.
 SYMBOLS = np.frombuffer(b"#$%&*+<=>@[\\]^_`{|}~", dtype=np.uint8)
-#: Bytes in a word's heads; ids of each style step.
-HEADS, COPIES = (4, 5), 8
+#: Bytes in a word's heads.
+HEADS = (4, 5)
+#: Style features, whose ids follow the hashed ones, and their share of the penalty: one is worth more than one word among hundreds.
+STYLES, STYLE_PENALTY = (len(SIGNS) + 3) * len(DENSITY), 0.125
 #: Rows that the fit handles at once.
 BLOCK = 512
 
@@ -36,11 +38,10 @@ class OrdinalModel:
 
 
 def features(column: pa.Array, dim: int) -> tuple[np.ndarray, np.ndarray]:
-    """Distinct feature ids (below dim) of each text and offsets: hashed words and word heads, and style.
+    """Distinct feature ids of each text and offsets: hashed words and word heads (below dim), and style (STYLES ids from dim on).
 
     Style is the density of each sign, of the symbols together, of words that repeat the one before and of words met before,
-    in steps; a text in a high step has the features of the lower ones too. Each style step has COPIES ids, so that it is
-    worth more to the penalised fit than one word among hundreds.
+    in steps; a text in a high step has the features of the lower ones too.
     """
     data, offsets = text_bytes(column)
     n = len(offsets) - 1
@@ -61,30 +62,33 @@ def features(column: pa.Array, dim: int) -> tuple[np.ndarray, np.ndarray]:
     style = np.column_stack([signs / size[:, None], symbols / size, same / total, met])
     step = np.searchsorted(DENSITY, style, side="right")
     d, s = np.nonzero(step)
-    ids, docs = [hashes >> np.uint64(20)], [doc]
+    ids, docs = [(hashes >> np.uint64(20)) % np.uint64(dim)], [doc]
     for head in HEADS:
-        ids.append(mix(words_of_bytes(data, offsets, head)[0] + np.uint64(head)))
+        ids.append(mix(words_of_bytes(data, offsets, head)[0] + np.uint64(head)) % np.uint64(dim))
         docs.append(doc)
     for k in range(1, len(DENSITY) + 1):
         at = step[d, s] >= k
-        for copy in range(COPIES):
-            ids.append(mix(((s[at] * 16 + k) * COPIES + copy + 1).astype(np.uint64)))
-            docs.append(d[at])
-    both = np.unique(np.concatenate(docs).astype(np.int64) * dim + (np.concatenate(ids) % np.uint64(dim)).astype(np.int64))
-    return (both % dim).astype(np.int32), np.searchsorted(both // dim, np.arange(n + 1))
+        ids.append((dim + s[at] * len(DENSITY) + k - 1).astype(np.uint64))
+        docs.append(d[at])
+    both = np.unique(np.concatenate(docs).astype(np.int64) * (dim + STYLES) + np.concatenate(ids).astype(np.int64))
+    return (both % (dim + STYLES)).astype(np.int32), np.searchsorted(both // (dim + STYLES), np.arange(n + 1))
 
 
 def _row_sums(values: np.ndarray, cuts: np.ndarray) -> np.ndarray:
-    sums = np.concatenate([[0.0], np.cumsum(values)])
-    return sums[cuts[1:]] - sums[cuts[:-1]]
+    """Sum of each row's values, by itself, so that it does not depend on the rows beside it."""
+    out = np.zeros(len(cuts) - 1)
+    some = np.flatnonzero(np.diff(cuts))
+    if len(some):
+        out[some] = np.add.reduceat(values.astype(np.float64), cuts[some])
+    return out
 
 
 def _sigmoid(x: np.ndarray) -> np.ndarray:
     return 0.5 * (1 + np.tanh(x / 2))
 
 
-def fit_ordinal(ids: np.ndarray, cuts: np.ndarray, ratings: np.ndarray, dim: int, l2: float = 0.5, steps: int = 150) -> OrdinalModel:
-    """Maximum likelihood with an l2 penalty, by L-BFGS on weights, first threshold and the logs of the gaps between thresholds."""
+def fit_ordinal(ids: np.ndarray, cuts: np.ndarray, ratings: np.ndarray, dim: int, l2: float | np.ndarray = 0.5, steps: int = 150) -> OrdinalModel:
+    """Maximum likelihood with an l2 penalty (one, or one a weight), by L-BFGS on weights, first threshold and the logs of the gaps between thresholds."""
     grades = np.unique(ratings)
     k, rows = len(grades), len(ratings)
     if k < 2:
@@ -114,7 +118,7 @@ def fit_ordinal(ids: np.ndarray, cuts: np.ndarray, ratings: np.ndarray, dim: int
         tail = np.cumsum(d_t[::-1])[::-1]
         g[dim] = tail[0]
         g[dim + 1 :] = tail[1:] * np.exp(x[dim + 1 :])
-        return total + 0.5 * l2 * float(x[:dim] @ x[:dim]), g
+        return total + 0.5 * float((l2 * x[:dim]) @ x[:dim]), g
 
     f, g = loss(x)
     small, past = 0, []
@@ -150,25 +154,35 @@ def tails(model: OrdinalModel, ids: np.ndarray, cuts: np.ndarray) -> np.ndarray:
     return 1 - _sigmoid(model.thresholds[None, :] - _row_sums(model.weights[ids], cuts)[:, None])
 
 
-def train(docs: DataFrame, ratings: DataFrame, grade: Column, max_rows: int = 8_000, dim: int = 1 << 18, l2: float = 0.5, id_col: str = "doc_id", text_col: str = "text") -> OrdinalModel:
-    """Fit on at most max_rows rated documents, the first by a hash of the id; features are computed on the executors.
+def train(
+    docs: DataFrame, ratings: DataFrame, grade: Column, max_rows: int = 8_000, max_features: int = 8_000_000, dim: int = 1 << 18, l2: float = 0.5, id_col: str = "doc_id",
+    text_col: str = "text",
+) -> OrdinalModel:
+    """Fit on a bounded sample of rated documents: the first max_rows by a hash of the id, as far as they have max_features feature ids together.
 
-    The bound on the sample is max_rows; ids and grades of the sample are broadcast, and its feature ids come to the driver.
+    Features are computed on the executors; ids and grades of the sample are broadcast, its feature ids (4 bytes each) come to
+    the driver. Of documents that share a rated id the smallest text counts, so no id brings more than one row; an id with
+    several ratings has the lowest. Ties of the hash go to the smaller id.
     """
     small_batches(docs.sparkSession)
-    few = ratings.select(F.col(id_col).alias("id"), grade.cast("int").alias("grade")).filter("id is not null and grade is not null").orderBy(F.xxhash64("id"), "id", "grade").limit(max_rows)
-    rated = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("t")).join(F.broadcast(few), "id")
+    few = ratings.select(F.col(id_col).alias("id"), grade.cast("int").alias("grade")).filter("id is not null and grade is not null")
+    few = few.groupBy("id").agg(F.min("grade").alias("grade")).orderBy(F.xxhash64("id"), "id").limit(max_rows)
+    rated = docs.select(F.col(id_col).alias("id"), F.coalesce(F.col(text_col), F.lit("")).alias("t")).join(F.broadcast(few), "id").groupBy("id", "grade").agg(F.min("t").alias("t"))
 
     def extract(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             ids, cuts = features(b.column("t"), dim)
-            yield pa.RecordBatch.from_arrays([b.column("id").cast(pa.int64()), b.column("grade"), pa.array([ids[i:j].tobytes() for i, j in zip(cuts[:-1], cuts[1:])], pa.binary())], ["id", "grade", "ids"])
-
-    rows = sorted(rated.mapInArrow(extract, "id long, grade int, ids binary").collect(), key=lambda r: (r[0], r[1], r[2]))[:max_rows]
-    cuts = np.concatenate([[0], np.cumsum([len(r[2]) // 4 for r in rows])]).astype(np.int64)
-    ids, graded = np.frombuffer(b"".join(r[2] for r in rows), dtype=np.int32), np.array([r[1] for r in rows], dtype=np.int64)
+            yield pa.RecordBatch.from_arrays([b.column("id").cast(pa.int64()), b.column("grade"), pa.array(np.diff(cuts)), pa.array([ids[i:j].tobytes() for i, j in zip(cuts[:-1], cuts[1:])], pa.binary())], ["id", "grade", "n", "ids"])
+
+    made = settle(rated.mapInArrow(extract, "id long, grade int, n long, ids binary").withColumn("h", F.xxhash64("id")), "rated")
+    first = Window.orderBy("h", "id").rowsBetween(Window.unboundedPreceding, 0)  # of max_rows small rows
+    held = [r["id"] for r in made.select("h", "id", F.sum("n").over(first).alias("n")).filter(F.col("n") <= max_features).collect()]
+    keep = docs.sparkSession.createDataFrame([(i,) for i in held], "id long")
+    rows = sorted(made.join(F.broadcast(keep), "id").select("h", "id", "grade", "ids").collect())
+    cuts = np.concatenate([[0], np.cumsum([len(r[3]) // 4 for r in rows])]).astype(np.int64)
+    ids, graded = np.frombuffer(b"".join(r[3] for r in rows), dtype=np.int32), np.array([r[2] for r in rows], dtype=np.int64)
     del rows
-    return fit_ordinal(ids, cuts, graded, dim, l2)
+    return fit_ordinal(ids, cuts, graded, dim + STYLES, np.concatenate([np.full(dim, l2), np.full(STYLES, l2 * STYLE_PENALTY)]))
 
 
 def score_quality(docs: DataFrame, model: OrdinalModel, text_col: str = "text") -> DataFrame:
@@ -188,7 +202,7 @@ def score_quality(docs: DataFrame, model: OrdinalModel, text_col: str = "text")
     def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         m = shared.value
         for b in batches:
-            p = tails(m, *features(b.column(text_col), len(m.weights)))
+            p = tails(m, *features(b.column(text_col), len(m.weights) - STYLES))
             expected = m.grades[0] + (p * np.diff(m.grades)[None, :]).sum(1)
             yield pa.RecordBatch.from_arrays([*b.columns, pa.array(expected), pa.array(p[:, -1])], [*b.schema.names, "expected_grade", "p_best"])
 

@@ -58,7 +58,8 @@ def op7_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op8_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return drop_boilerplate(_read(spark, sf_dir, "documents")).select("doc_id", "source", "text", "n_lines", "n_removed")
+    """A line goes if more than 10 % of its source's documents hold it, and at least 3 of them."""
+    return drop_boilerplate(_read(spark, sf_dir, "documents"), ratio=0.1, min_pages=3).select("doc_id", "source", "text", "n_lines", "n_removed")
 
 
 def op9_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -74,16 +75,16 @@ QUERIES = {f.__name__: f for f in (op1_language, op2_secrets, op3_jaccard, op4_t
 
 OP4_SQL = """
 WITH v AS (
-  SELECT vec_id AS id, list_transform(embedding, lambda x: CAST(floor(256 * CAST(x AS DOUBLE)) AS BIGINT)) AS v
+  SELECT row_number() OVER () AS rid, vec_id AS id, list_transform(embedding, lambda x: CAST(floor(256 * CAST(x AS DOUBLE)) AS BIGINT)) AS v
   FROM embeddings
   WHERE vec_id IS NOT NULL AND embedding IS NOT NULL
     AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
 ), s AS (
-  SELECT q.id AS query_id, c.id AS vec_id,
+  SELECT q.rid, q.id AS query_id, c.id AS vec_id,
          CAST(list_sum(list_transform(range(1, len(q.v) + 1), lambda i: q.v[i] * c.v[i])) AS BIGINT) AS score
-  FROM v q JOIN v c ON q.id % 50 = 0 AND c.id <> q.id AND len(q.v) = len(c.v)
+  FROM v q JOIN v c ON q.id % 50 = 0 AND c.rid <> q.rid AND len(q.v) = len(c.v)
 ), r AS (
-  SELECT *, CAST(row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS INTEGER) AS rank FROM s
+  SELECT *, CAST(row_number() OVER (PARTITION BY rid ORDER BY score DESC, vec_id) AS INTEGER) AS rank FROM s
 )
 SELECT query_id, rank, vec_id, score FROM r WHERE rank <= 5
 """

@@ -54,6 +54,15 @@ _RUN = re.compile(r"[A-Za-z0-9+/_-]{%d,}={0,2}" % BANDS[0])
 _ENCODINGS = [(name, re.compile(pattern), {c: i for i, c in enumerate(alphabet)}, excess) for name, pattern, alphabet, excess in ENCODINGS]
 
 
+def _at_least(runs: int, trials: int, rate: float) -> float:
+    """P(a binomial count is at least `runs`): one sum in logarithms, whatever the number of trials."""
+    i = np.arange(1, trials + 1)
+    logs = trials * math.log1p(-rate) + np.concatenate([[0.0], np.cumsum(np.log((trials - i + 1) / i) + math.log(rate / (1 - rate)))])
+    tail = logs[runs:]
+    most = tail.max()
+    return min(1.0, math.exp(most + math.log(float(np.exp(tail - most).sum())))) if most > -700 else 0.0
+
+
 def _below(z: float) -> float:
     return 0.5 * math.erfc(-z / math.sqrt(2))
 
@@ -76,16 +85,12 @@ def battery(token: str) -> tuple[str, float] | None:
     p_chi = _below((chi - (k - 1 + n * excess)) / math.sqrt(2 * (k - 1 + 2 * n * excess)))
     classes = np.array([0 if c.islower() else 1 if c.isupper() else 2 if c.isdigit() else 3 for c in body])
     runs = int((classes[1:] != classes[:-1]).sum())
-    m = n - 1
-    if m <= 200:
-        p_runs = sum(math.comb(m, i) * CHANGE_RATE**i * (1 - CHANGE_RATE) ** (m - i) for i in range(runs, m + 1))
-    else:
-        p_runs = _below((m * CHANGE_RATE - runs + 0.5) / math.sqrt(m * CHANGE_RATE * (1 - CHANGE_RATE)))
+    p_runs = _at_least(runs, n - 1, CHANGE_RATE)
     a, b = codes[:-1] - codes[:-1].mean(), codes[1:] - codes[1:].mean()
     spread = math.sqrt(float((a * a).sum() * (b * b).sum()))
     r = abs(float((a * b).sum()) / spread) if spread else 1.0
     p_serial = _below((math.atanh(min(r, 0.999)) - math.atanh(CORRELATION)) * math.sqrt(n - 3))  # Fisher's transformation
-    x = -math.log(max(p_chi, 1e-300)) - math.log(max(min(p_runs, 1.0), 1e-300))
+    x = -math.log(max(p_chi, 1e-300)) - math.log(max(p_runs, 1e-300))
     return name, min(1.0, max(p_serial, math.exp(-x) * (1 + x)))
 
 
@@ -110,8 +115,9 @@ def find_secrets(docs: DataFrame, fdr: float = 0.01, id_col: str = "doc_id", tex
     """Spans of secrets in whole texts: columns id_col, spans array<struct<start, kind, end>> by start, then kind (order in KINDS).
 
     Random-looking tokens are claimed by the Benjamini-Hochberg rule at rate `fdr`, for each encoding and length band alone,
-    over the tokens of all documents. p-values lie on a grid (rounded up), so the rule needs only counts per step: at most
-    6 * 6 * 301 rows, whatever the input. Texts are scanned once; only spans are kept and nothing of a document is shuffled.
+    over the tokens of all documents. p-values lie on a grid (rounded up, and none below 10 ** -30, its last step), so the rule
+    needs only counts per step: at most 6 * 6 * 301 rows, whatever the input. The null model is fixed constants (ENCODINGS,
+    CHANGE_RATE, CORRELATION). Texts are scanned once; only spans are kept and nothing of a document is shuffled.
 
     Null text counts as empty; empty text has no spans; repeated rows are scanned each for itself; null ids pass through; an
     empty table gives no rows; other columns are left out.
@@ -145,7 +151,7 @@ def find_secrets(docs: DataFrame, fdr: float = 0.01, id_col: str = "doc_id", tex
 
 
 def spans_digest(found: DataFrame, id_col: str = "doc_id") -> DataFrame:
-    """Counts and strings of the spans of `find_secrets`."""
+    """Counts and strings of the spans of `find_secrets`; n_random, which the contract does not name, comes last."""
     names = F.array(*[F.lit(k) for k in KINDS])
 
     def joined(spans):
@@ -154,7 +160,7 @@ def spans_digest(found: DataFrame, id_col: str = "doc_id") -> DataFrame:
     base = F.filter("spans", lambda s: s["kind"] < 3)
     kinds = F.transform("spans", lambda s: s["kind"])
     n = [(F.size(kinds) - F.size(F.array_remove(kinds, i))).cast("long").alias(f"n_{k}") for i, k in enumerate(KINDS)]
-    return found.select(id_col, *n, F.sha2(joined(base), 256).alias("base_sha256"), joined(F.col("spans")).alias("spans"))
+    return found.select(id_col, *n[:3], F.sha2(joined(base), 256).alias("base_sha256"), joined(F.col("spans")).alias("spans"), n[3])
 
 
 __all__ = ["KINDS", "base_spans", "battery", "candidates", "find_secrets", "spans_digest"]

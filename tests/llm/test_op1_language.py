@@ -43,7 +43,7 @@ def plain(items, model, host_strength=5.0, domain_strength=20.0, smoothing=1.0,
         s = [v - max(s) for v in s]
         e = [math.exp(v) for v in s]
         scores.append(s)
-        soft.append([v / sum(e) for v in e])
+        soft.append([v / sum(e) if n else 0.0 for v in e])
     K = range(len(langs))
     total = [sum(s[k] for s in soft) for k in K]
     q = [(t + 1) / (sum(total) + len(langs)) for t in total]
@@ -103,3 +103,33 @@ def test_page_evidence(spark):
 def test_query_covers_both_tables(spark):
     got = op1_language(spark, SMALL)
     assert got.filter("doc_id is not null").count() == 200 and got.filter("page_id is not null").count() == 50
+
+
+def test_declared_far_into_the_page(spark):
+    head = "<html><head><style>" + "p{} " * 3000 + "</style><script>var a='<html lang=\"xx\">';</script>"
+    pages = [(1, "http://a.de/", "<!-- <html lang='xx'>" + "x" * 9000 + '--><html lang="de"><body>a'), (2, "http://a.fr/", head + '<meta http-equiv="content-language" content="fr"></head>b'), (3, "http://a.en/", head)]
+    got = {r.page_id: r.declared for r in page_evidence(spark.createDataFrame(pages, "page_id long, url string, html string")).collect()}
+    assert got == {1: "de", 2: "fr", 3: None}
+
+
+def test_scores_do_not_depend_on_the_batch(model):
+    import numpy as np
+    import pyarrow as pa
+
+    from quern.llm.language import text_scores
+
+    texts = ["der die und einer", "x" * 1_500_000, None, "", "ab", "la de " * 300_000, "the and of", "é"]
+    sums, n = text_scores(pa.array(texts), model.logs)
+    for i, t in enumerate(texts):
+        own, own_n = text_scores(pa.array([t], pa.string()), model.logs)
+        assert (own[0] == sums[i]).all() and own_n[0] == n[i]
+    assert np.isfinite(sums).all()
+
+
+def test_long_texts_repeats_null_ids_and_other_columns(spark, model):
+    rows = [(1, "der die und einer " * 50_000, None, None, "h", None, 5), (None, "la de", None, None, "h", None, 5), (2, None, None, None, "h", None, 5), (2, None, None, None, "h", None, 5)]
+    df = spark.createDataFrame(rows, ITEMS + ", scores int")
+    one = sorted(map(tuple, fuse(df, model, ["doc_id"]).collect()), key=str)
+    two = sorted(map(tuple, fuse(df.repartition(3), model, ["doc_id"]).collect()), key=str)
+    assert len(one) == 4 and sum(r[0] is None for r in one) == 1 and [r[0] for r in one].count(2) == 2
+    assert [(a[0], a[1], a[3]) for a in one] == [(b[0], b[1], b[3]) for b in two] and all(abs(a[2] - b[2]) < 1e-9 for a, b in zip(one, two))

@@ -7,7 +7,7 @@ from hypothesis import given, settings
 from hypothesis import strategies as st
 
 from quern.llm.queries import op2_secrets
-from quern.llm.secrets import base_spans, battery, find_secrets, spans_digest
+from quern.llm.secrets import _at_least, base_spans, battery, candidates, find_secrets, spans_digest
 from tests.compare import SMALL
 
 KINDS = ["assign", "access", "hex"]
@@ -74,3 +74,42 @@ def test_random_tokens_among_ordinary_ones(spark):
     assert sum(by[i].n_random for i in range(20)) >= 19 and sum(by[100 + i].n_random for i in range(200)) == 0
     assert by[500].spans == by[501].spans == "" and by[None].n_assign == 1 and by[502].spans == "assign:300001:300014"
     assert spans_digest(find_secrets(df.limit(0))).count() == 0
+
+
+def test_column_order(spark):
+    assert op2_secrets(spark, SMALL).columns == ["doc_id", "n_assign", "n_access", "n_hex", "base_sha256", "spans", "n_random"]
+
+
+def test_tail_is_the_binomial_at_every_length():
+    from fractions import Fraction
+    from math import comb
+
+    for m in (1, 19, 200, 201, 700):
+        for runs in {0, 1, m // 4, m // 2, m}:
+            exact = sum(Fraction(comb(m, i) * 3 ** (m - i), 4**m) for i in range(runs, m + 1))
+            assert abs(_at_least(runs, m, 0.25) / float(exact) - 1) < 1e-9 if float(exact) > 1e-300 else _at_least(runs, m, 0.25) < 1e-290
+    assert 0 < _at_least(30_000, 100_000, 0.25) < 1e-100
+
+
+def test_claims_are_benjamini_hochberg(spark):
+    """Over all documents, stratum by stratum: the largest k with p(k) <= k / n * rate, on the stated grid."""
+    rng = random.Random(9)
+    made = lambda alphabet, n: "".join(rng.choice(alphabet) for _ in range(n))
+    texts = []
+    for i in range(300):
+        words = [made(string.ascii_letters + string.digits, rng.randrange(20, 60)) if rng.random() < 0.2 else "-".join(made("etaoinsh", rng.randrange(3, 9)) for _ in range(6)) + str(rng.randrange(99))]
+        words.append(made("ABCDEFGHIJKLMNOPQRSTUVWXYZ234567", 26) if rng.random() < 0.3 else "Ab1" * rng.randrange(7, 12))
+        texts.append(" ".join(words))
+    found = {r.doc_id: {(s.start, s.end) for s in r.spans if s.kind == 3} for r in find_secrets(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")).collect()}
+    strata = {}
+    for i, t in enumerate(texts):
+        for start, end, stratum, step in candidates(t, base_spans(t)):
+            strata.setdefault(stratum, []).append((10 ** (-step / 10), i, start, end))
+    want = {i: set() for i in range(len(texts))}
+    for own in strata.values():
+        ps = sorted(x[0] for x in own)
+        passing = [p for k, p in enumerate(ps, 1) if p <= 0.01 * k / len(ps)]
+        for p, i, start, end in own:
+            if passing and p <= max(passing):
+                want[i].add((start, end))
+    assert found == want and 0 < sum(map(len, want.values())) < sum(map(len, strata.values()))

@@ -6,9 +6,10 @@ import pytest
 
 from quern.llm.components import components
 from quern.llm.jaccard import forest_depth, jaccard_groups, keep_one
-from quern.llm.words import WORD
 from tests.compare import SMALL
 
+from .plainwords import WORD
+
 
 def shingle_set(text):
     w = WORD.findall((text or "").lower())

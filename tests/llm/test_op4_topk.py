@@ -12,10 +12,10 @@ from tests.compare import SMALL, of_spark, oracle
 def plain(rows, k=5):
     clean = [(i, [math.floor(256 * x) for x in v]) for i, v in rows if i is not None and v is not None and all(x is not None and math.isfinite(x) for x in v)]
     out = []
-    for q in sorted({i for i, _ in clean if i % 50 == 0}):
-        v = next(v for i, v in clean if i == q)
-        scored = sorted((-sum(a * b for a, b in zip(v, w)), i) for i, w in clean if i != q and len(w) == len(v))[:k]
-        out += [(q, r + 1, i, -s) for r, (s, i) in enumerate(scored)]
+    for n, (q, v) in enumerate(clean):
+        if q % 50 == 0:
+            scored = sorted((-sum(a * b for a, b in zip(v, w)), i) for m, (i, w) in enumerate(clean) if m != n and len(w) == len(v))[:k]
+            out += [(q, r + 1, i, -s) for r, (s, i) in enumerate(scored)]
     return sorted(out)
 
 
@@ -51,3 +51,14 @@ def test_few_rows_huge_values_and_empty(spark):
     big = run(spark, [(0, [2.0**40, 1.0]), (1, [2.0**20, 1.0])])
     assert big == [(0, 1, 1, min(2**63 - 1, 2**48 * 2**28 + 256 * 256))]
     assert run(spark, []) == []
+
+
+def test_repeated_ids_are_rows_of_their_own(spark, tmp_path):
+    rng = random.Random(7)
+    rows = [(i % 60, [float(F32(rng.gauss(0, 1))) for _ in range(4)]) for i in range(150)]
+    rows += [rows[0], rows[0], rows[50]]
+    assert run(spark, rows) == plain(rows) and sum(q == 0 for q, *_ in run(spark, rows)) == 25
+    spark.createDataFrame(rows, "vec_id long, embedding array<float>").coalesce(1).write.parquet(f"file://{tmp_path}/embeddings.parquet")
+    con = __import__("duckdb").connect()
+    con.sql(f"CREATE VIEW embeddings AS SELECT * FROM read_parquet('{tmp_path}/embeddings.parquet/*.parquet')")
+    assert sorted(con.sql(ORACLE_SQL["op4_topk"]).fetchall()) == sorted(tuple(r) for r in QUERIES["op4_topk"](spark, f"file://{tmp_path}").collect()) == plain(rows)

@@ -5,9 +5,11 @@ import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
-from quern.llm.quality import OrdinalModel, features, fit_ordinal, label_grade, score_quality, select_quality, tails, train
+from quern.llm.quality import STYLES, OrdinalModel, features, fit_ordinal, label_grade, score_quality, select_quality, tails, train
+from quern.llm.queries import op5_quality
 
 SF = "/root/testdata/sf0.1"
+SMALL = "/root/testdata/sf0.001"
 
 
 def test_held_out_accuracy(spark):
@@ -46,7 +48,7 @@ def test_features_are_those_of_the_text_alone():
 
 
 def test_scores_are_the_formula(spark):
-    m = OrdinalModel(np.zeros(1 << 10), np.array([-1.0, 0.5]), np.array([0, 1, 2]))
+    m = OrdinalModel(np.zeros((1 << 10) + STYLES), np.array([-1.0, 0.5]), np.array([0, 1, 2]))
     m.weights[features(pa.array(["good"]), 1 << 10)[0]] = 0.5
     df = spark.createDataFrame([(1, "good", 9), (1, "good", 9), (2, None, 9), (3, "", 9)], "doc_id long, text string, p_best int")
     n = len(features(pa.array(["good"]), 1 << 10)[0])
@@ -66,3 +68,58 @@ def test_no_labels_one_grade_and_empty(spark):
     assert select_quality(df.limit(0), one, label_grade()).count() == 0
     assert train(df, one, label_grade()).grades.tolist() == [2]
     assert df.select(F.lit(1)).count() == 2
+
+
+def test_fit_is_the_optimum():
+    """Against the likelihood written out row by row: no small step in any coordinate lowers it."""
+    rng = np.random.default_rng(3)
+    x = [np.unique(rng.integers(0, 8, size=rng.integers(1, 6))) for _ in range(120)]
+    y = rng.integers(0, 3, size=120)
+    ids, cuts = np.concatenate(x).astype(np.int32), np.concatenate([[0], np.cumsum([len(i) for i in x])])
+    l2 = np.array([0.5] * 6 + [0.0625] * 2)
+    m = fit_ordinal(ids, cuts, y, 8, l2)
+    s = lambda v: 1 / (1 + math.exp(-v))
+
+    def loss(w, t):
+        total = 0.5 * float((l2 * w) @ w)
+        for own, g in zip(x, y):
+            z = w[own].sum()
+            upper, lower = (s(t[g] - z) if g < 2 else 1.0), (s(t[g - 1] - z) if g else 0.0)
+            total -= math.log(upper - lower)
+        return total
+
+    least = loss(m.weights, m.thresholds)
+    for k in range(8):
+        for step in (0.02, -0.02):
+            w = m.weights.copy()
+            w[k] += step
+            assert loss(w, m.thresholds) > least - 1e-6
+    for k in range(2):
+        for step in (0.02, -0.02):
+            t = m.thresholds.copy()
+            t[k] += step
+            assert loss(m.weights, t) > least - 1e-6
+
+
+def test_query_is_the_formula_over_all_documents(spark):
+    docs, labels = spark.read.parquet(f"{SMALL}/documents.parquet"), spark.read.parquet(f"{SMALL}/labels.parquet")
+    m = train(docs, labels, label_grade())
+    w, want = m.weights.astype(np.float32), {}
+    for r in docs.collect():
+        z = float(w[features(pa.array([r.text], pa.string()), len(w) - STYLES)[0]].astype(np.float64).sum())
+        above = [1 / (1 + math.exp(t - z)) for t in m.thresholds]
+        if above[-1] >= 0.5:
+            want[r.doc_id] = (float(m.grades[0]) + sum(p * (b - a) for p, a, b in zip(above, m.grades, m.grades[1:])), above[-1])
+    got = {r.doc_id: (r.expected_grade, r.p_best) for r in op5_quality(spark, SMALL).collect()}
+    assert set(got) == set(want) and len(got) < docs.count()
+    assert all(got[i] == pytest.approx(want[i], rel=1e-6) for i in want)
+
+
+def test_repeated_ids_ties_and_bounds(spark):
+    rows = [(i % 20, f"good words here number{i}" if i % 2 else f"bad ### text {i}", 0) for i in range(40)] + [(None, "x", 0), (3, None, 0), (4, "long " * 200_000, 0)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, grade int")
+    labels = spark.createDataFrame([(i % 20, i % 2, 0) for i in range(60)], "doc_id long, quality int, toxic int")
+    one = train(df, labels, label_grade(), max_rows=10)
+    assert one.grades.tolist() == [1, 2] and (train(df.repartition(5), labels, label_grade(), max_rows=10).weights == one.weights).all()
+    assert train(df, labels, label_grade(), max_features=0).grades.tolist() == []
+    assert score_quality(df, one).count() == len(rows)

@@ -3,7 +3,8 @@ import random
 import numpy as np
 
 from quern.llm.decontaminate import best_match, item_class, mark_leaks
-from quern.llm.words import WORD
+
+from .plainwords import WORD
 
 
 def edit_distance(a, b):

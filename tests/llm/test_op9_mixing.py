@@ -80,3 +80,10 @@ def test_large_fit_is_exact():
     for target in (1e6, 123_456_789.0, 2.2e8):
         base, extra = fit_counts(lengths, counts, target, 2, 20_000)
         assert base * int((lengths * counts).sum()) + int((extra * lengths).sum()) == target
+
+
+def test_column_order_and_long_texts(spark):
+    assert op9_mixing(spark, SMALL).columns == ["doc_id", "size", "source_size", "target", "taken", "source"]
+    df = spark.createDataFrame([(1, "a", "w " * 300_000), (2, "a", "w"), (3, "b", "w w")], "doc_id long, source string, text string")
+    got = {r.doc_id: (r.size, r.source_size) for r in mix_to_targets(df).collect()}
+    assert got == {1: (300_000, 300_001), 2: (1, 300_001), 3: (2, 2)}

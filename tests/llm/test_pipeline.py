@@ -3,8 +3,8 @@
 import collections
 
 import corpus_pipeline
-from quern.llm.words import WORD
 
+from .plainwords import WORD
 from .test_op3_jaccard import plain as groups
 from .test_op8_line_dedup import plain as boilerplate
 from .test_op9_mixing import targets
