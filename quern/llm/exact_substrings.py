@@ -12,7 +12,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..sources.shared import shared_dir
+from ..sources.shared import mark, shared_path, sweep
 from .common import settle, small_batches
 from .suffixes import permuted_common_prefixes, suffix_array
 from .words import mix, text_bytes
@@ -74,6 +74,11 @@ def _runs(flags: np.ndarray) -> np.ndarray:
     return np.flatnonzero(np.concatenate([flags[:1] | True, flags[1:]])) if len(flags) else np.zeros(0, dtype=np.int64)
 
 
+def _ends(first: np.ndarray, n: int) -> np.ndarray:
+    """Where the runs that begin at `first` end."""
+    return np.concatenate([first[1:], [n]]) if len(first) else first
+
+
 def _slices(starts: np.ndarray, counts: np.ndarray) -> np.ndarray:
     """start, start + 1, ... for each pair, one after the other."""
     ends = np.cumsum(counts)
@@ -164,7 +169,7 @@ def sorted_windows(data: np.ndarray, n_windows: np.ndarray, least: np.ndarray, l
     windows = _slices(starts, n_windows)
     is_window = np.zeros(len(s), dtype=bool)
     is_window[windows] = True
-    order = suffix_array(s, 258, length)
+    order = suffix_array(s, 258)
     order = order[is_window[order]]
     shared = permuted_common_prefixes(s, order, length)
     group = np.flatnonzero(np.concatenate([[True], shared < length]))
@@ -195,14 +200,15 @@ def answers_of_shard(pdf: pd.DataFrame, length: int) -> pd.DataFrame:
 
 
 def remove_repeats(
-    docs: DataFrame, length: int = 50, chunk_bytes: int = 1 << 20, shard_bytes: int = 3 << 20, id_col: str = "doc_id", text_col: str = "text"
+    docs: DataFrame, length: int = 50, chunk_bytes: int = 1 << 20, shard_bytes: int = 3 << 20, bucket_bytes: int = 32 << 20, id_col: str = "doc_id", text_col: str = "text"
 ) -> DataFrame:
     """One row per document: id_col, n_bytes, n_removed, spans array<struct<start, end>> (bytes, end exclusive), kept_sha256.
 
     Texts are UTF-8 bytes. Every byte goes that a `length`-byte string covers which also starts in a document with a smaller
     id, in the texts as given; matches never cross documents.
 
-    1. Texts are packed into chunks, a table bucketed by chunk, so that they never cross the network again.
+    1. Texts are packed into chunks, a table bucketed by chunk, so that they never cross the network again. Buckets grow in
+       number with the input, bucket_bytes each, up to the 100,000 that Spark allows.
     2. Windows that share an anchor form segments. Each shard of anchor hashes tells each chunk, in bits, which of its
        anchors occur under another id; only segments of such anchors can repeat.
     3. The distinct ones of those segments go to their anchor's shard. There a suffix array (induced sorting) and permuted
@@ -211,7 +217,8 @@ def remove_repeats(
     4. Each chunk gets its answers as runs and cuts its texts.
 
     A chunk sends a string once, however many of its documents hold it, so a passage of a third of all documents weighs as
-    much in its shard as there are chunks. Shards grow in number with the input, not in size.
+    much in its shard as there are chunks. Shards grow in number with the input, not in size. The result is written, and the
+    tables that led to it are deleted.
 
     Null text counts as empty; texts shorter than `length` keep all; rows with the same id never remove from each other; rows
     with a null id keep all and remove nothing; repeated rows are reported each; an empty table gives no rows; other columns
@@ -245,11 +252,13 @@ def remove_repeats(
         if ids:
             yield chunk()
 
-    buckets = max(int(spark.conf.get("spark.sql.shuffle.partitions")), 1)
+    start = mark(spark)
+    total = docs.agg(F.sum(F.octet_length(text_col))).first()[0] or 0
+    buckets = min(100_000, max(int(spark.conf.get("spark.sql.shuffle.partitions")), -(-total // bucket_bytes), 1))
+    path = shared_path(spark, "chunks")
     table = f"quern_chunks_{uuid.uuid4().hex}"
-    source.filter("id is not null").mapInArrow(pack, "chunk long, ids array<bigint>, sizes array<int>, data binary").write.bucketBy(buckets, "chunk").option("path", f"{shared_dir(spark)}/{table}").saveAsTable(table)
+    source.filter("id is not null").mapInArrow(pack, "chunk long, ids array<bigint>, sizes array<int>, data binary").write.bucketBy(buckets, "chunk").option("path", path).saveAsTable(table)
     chunks = spark.table(table)
-    total = chunks.agg(F.sum(F.aggregate("sizes", F.lit(0).cast("long"), lambda a, x: a + x))).first()[0] or 0
     shards = max(1, -(-total // shard_bytes))
     size = min(8, 2 + (max(total, 1).bit_length() + 7) // 8)  # so many bytes that chance hardly makes two anchors equal
 
@@ -261,10 +270,9 @@ def remove_repeats(
             for number, *row in zip(*(batch.column(c) for c in ("chunk", "ids", "sizes", "data"))):
                 data, offsets, ids = opened(*row)
                 _, anchors, shard, twice = anchors_of_chunk(data, offsets, ids, length, shards, size)
-                cuts = np.searchsorted(shard, np.arange(shards + 1))
-                some = np.flatnonzero(np.diff(cuts))
-                blobs = [(_pack(anchors[cuts[k] : cuts[k + 1]], size), np.packbits(twice[cuts[k] : cuts[k + 1]]).tobytes()) for k in some]
-                yield pa.RecordBatch.from_arrays([pa.array([number.as_py()] * len(some), pa.int64()), pa.array(some), pa.array([b[0] for b in blobs], pa.binary()), pa.array([b[1] for b in blobs], pa.binary())], ["chunk", "shard", "anchors", "twice"])
+                first = _runs(np.concatenate([[True], shard[1:] != shard[:-1]])[: len(shard)])
+                blobs = [(_pack(anchors[i:j], size), np.packbits(twice[i:j]).tobytes()) for i, j in zip(first, _ends(first, len(shard)))]
+                yield pa.RecordBatch.from_arrays([pa.array([number.as_py()] * len(first), pa.int64()), pa.array(shard[first], pa.int64()), pa.array([b[0] for b in blobs], pa.binary()), pa.array([b[1] for b in blobs], pa.binary())], ["chunk", "shard", "anchors", "twice"])
 
     sent = chunks.mapInArrow(send_anchors, "chunk long, shard long, anchors binary, twice binary")
     often = settle(sent.groupBy("shard").applyInPandas(lambda pdf: repeated_anchors(pdf, size), "chunk long, shard long, often binary"), "anchors")
@@ -274,10 +282,9 @@ def remove_repeats(
         for number, row_ids, sizes, blob, flags in zip(*(batch.column(c) for c in ("chunk", "ids", "sizes", "data", "often"))):
             data, offsets, ids = opened(row_ids, sizes, blob)
             seg, anchors, shard, _ = anchors_of_chunk(data, offsets, ids, length, shards, size)
-            cuts = np.searchsorted(shard, np.arange(shards + 1))
             known = np.zeros(len(anchors), dtype=bool)
             for f in flags.as_py() or []:
-                a, b = cuts[f["shard"]], cuts[f["shard"] + 1]
+                a, b = np.searchsorted(shard, [f["shard"], f["shard"] + 1])
                 known[a:b] = np.unpackbits(np.frombuffer(f["often"], dtype=np.uint8), count=b - a)
             order = np.argsort(anchors, kind="stable")
             flagged = known[order][np.searchsorted(anchors[order], seg["short"])] if len(anchors) else np.zeros(0, dtype=bool)
@@ -288,14 +295,15 @@ def remove_repeats(
             for number, data, _, _, seg, order, first, least in reopened(batch):
                 mine = order[first]
                 lens = seg["count"][mine] + length - 1
-                cuts = np.searchsorted(seg["shard"][mine], np.arange(shards + 1))
-                some = np.flatnonzero(np.diff(cuts))
+                shard = seg["shard"][mine]
+                begin = _runs(np.concatenate([[True], shard[1:] != shard[:-1]])[: len(shard)])
+                spans = list(zip(begin, _ends(begin, len(shard))))
                 bounds = np.concatenate([[0], np.cumsum(lens)])
                 joined = data[_slices(seg["start"][mine], lens)].tobytes()
                 words = [x.tobytes() for x in (seg["content"][mine].astype("<u8"), seg["anchor"][mine].astype("<u8"), seg["count"][mine].astype("<i8"), least.astype("<i8"))]
-                columns = [pa.array([w[8 * cuts[k] : 8 * cuts[k + 1]] for k in some], pa.binary()) for w in words]
-                columns.append(pa.array([joined[bounds[cuts[k]] : bounds[cuts[k + 1]]] for k in some], pa.binary()))
-                yield pa.RecordBatch.from_arrays([pa.array([number] * len(some), pa.int64()), pa.array(some, pa.int64()), *columns], ["chunk", "shard", "content", "anchors", "counts", "ids", "bytes"])
+                columns = [pa.array([w[8 * i : 8 * j] for i, j in spans], pa.binary()) for w in words]
+                columns.append(pa.array([joined[bounds[i] : bounds[j]] for i, j in spans], pa.binary()))
+                yield pa.RecordBatch.from_arrays([pa.array([number] * len(begin), pa.int64()), pa.array(shard[begin], pa.int64()), *columns], ["chunk", "shard", "content", "anchors", "counts", "ids", "bytes"])
 
     flagged = chunks.join(often, "chunk", "left")
     sent = flagged.mapInArrow(send_segments, "chunk long, shard long, content binary, anchors binary, counts binary, ids binary, bytes binary")
@@ -348,4 +356,7 @@ def remove_repeats(
     known = flagged.join(answers, "chunk", "left").mapInArrow(cut_arrow, result)
     text = F.coalesce("t", F.lit(""))
     unnamed = source.filter("id is null").select("id", F.octet_length(text).cast("long").alias("n_bytes"), F.lit(0).cast("long").alias("n_removed"), F.array().cast("array<struct<start:int,end:int>>").alias("spans"), F.sha2(text, 256).alias("kept_sha256"))
-    return known.unionByName(unnamed).withColumnRenamed("id", id_col)
+    out = settle(known.unionByName(unnamed).withColumnRenamed("id", id_col), "unrepeated")
+    spark.sql(f"DROP TABLE {table}")
+    sweep(spark, start, keep=out)
+    return out

@@ -107,4 +107,20 @@ SELECT t.doc_id, t.source, coalesce(d.text, t.text) AS text,
 FROM t LEFT JOIN d ON t.rid = d.rid
 """
 
-ORACLE_SQL = {"op4_topk": OP4_SQL, "op8_line_dedup": OP8_SQL}
+#: Every 50-byte window, the smallest id that holds it, and the runs that windows of larger ids cover.
+OP10_SQL = """
+WITH t AS (SELECT row_number() OVER () AS rid, doc_id, encode(coalesce(text, '')) AS x FROM documents),
+w AS (SELECT rid, doc_id, p, array_slice(x, p + 1, p + 50) AS s FROM t, unnest(range(CAST(greatest(octet_length(x) - 49, 0) AS BIGINT))) u(p) WHERE doc_id IS NOT NULL),
+f AS (SELECT s, min(doc_id) AS least FROM w GROUP BY s HAVING min(doc_id) < max(doc_id)),
+gone AS (SELECT w.rid, w.p FROM w JOIN f ON w.s = f.s WHERE f.least < w.doc_id),
+n AS (SELECT rid, p, CASE WHEN p <= lag(p) OVER (PARTITION BY rid ORDER BY p) + 50 THEN 0 ELSE 1 END AS fresh FROM gone),
+i AS (SELECT rid, p, sum(fresh) OVER (PARTITION BY rid ORDER BY p ROWS UNBOUNDED PRECEDING) AS run FROM n),
+r AS (SELECT rid, run, min(p) AS a, max(p) + 50 AS b FROM i GROUP BY rid, run),
+k AS (SELECT t.rid, r.a, r.b, coalesce(lag(r.b) OVER (PARTITION BY t.rid ORDER BY r.a), 0) AS before, t.x FROM t JOIN r ON t.rid = r.rid),
+c AS (SELECT rid, count(*) AS n_spans, sum(b - a) AS n_removed, max(b) AS last, string_agg(CASE WHEN a > before THEN hex(array_slice(x, before + 1, a)) ELSE '' END, '' ORDER BY a) AS kept FROM k GROUP BY rid)
+SELECT t.doc_id, CAST(octet_length(x) AS BIGINT) AS n_bytes, CAST(coalesce(n_removed, 0) AS BIGINT) AS n_removed, CAST(coalesce(n_spans, 0) AS BIGINT) AS n_spans,
+       sha256(CASE WHEN c.rid IS NULL THEN x ELSE unhex(kept || CASE WHEN last < octet_length(x) THEN hex(array_slice(x, last + 1, octet_length(x))) ELSE '' END) END) AS kept_sha256
+FROM t LEFT JOIN c ON t.rid = c.rid
+"""
+
+ORACLE_SQL = {"op10_suffix_dedup": OP10_SQL, "op4_topk": OP4_SQL, "op8_line_dedup": OP8_SQL}

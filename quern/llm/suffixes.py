@@ -5,6 +5,10 @@ from __future__ import annotations
 import numpy as np
 
 
+#: So many names are sorted bucket by bucket as they are.
+FEW = 1024
+
+
 def _ranks_in_groups(groups: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """A stable order by group (radix sort: groups are of 16 bits) and each ordered entry's rank in its group."""
     order = np.argsort(groups, kind="stable")
@@ -32,7 +36,7 @@ def induce(s: np.ndarray, small: np.ndarray, lms: np.ndarray, sigma: int) -> np.
     Left to right, each suffix puts its L-type predecessor at the head of that one's bucket; then right to left for S-types at
     the tails. A bucket is done at once, in waves: what the bucket puts into itself is its next wave.
     """
-    n, s = len(s), s.astype(np.uint16)
+    n, s = len(s), s.astype(np.uint16 if sigma <= 1 << 16 else np.int64)
     counts = np.bincount(s, minlength=sigma)
     ends = np.cumsum(counts)
     starts = ends - counts
@@ -98,11 +102,13 @@ def _pieces(s: np.ndarray, lms: np.ndarray) -> np.ndarray:
     return x ^ (ends - lms).astype(np.uint64) * np.uint64(0x94D049BB133111EB)
 
 
-def suffix_array(s: np.ndarray, sigma: int, depth: int | None = None) -> np.ndarray:
-    """Suffix array of s (its last symbol is its smallest and occurs once); with depth, suffixes equal that far may be in any order.
+def suffix_array(s: np.ndarray, sigma: int) -> np.ndarray:
+    """Suffix array of s, whose symbols are below sigma; its last symbol is its smallest and occurs once.
 
-    LMS substrings are sorted by induction from the text order, named by rank, and the string of names is sorted in turn;
-    names are many and their buckets small, so that string is sorted by doubling ranks, not by bucket waves again.
+    LMS substrings are sorted by induction from the text order and named by rank. Where names repeat, the string of names is
+    sorted in the same way, by recursion, and its order induces that of all suffixes. Names are half of the symbols at most, in
+    texts a third. As the induction goes bucket by bucket, many names are written in two digits of some sqrt(names) values,
+    unless that would not make the string shorter.
     """
     small, lms = classify(s)
     if not len(lms):
@@ -116,15 +122,18 @@ def suffix_array(s: np.ndarray, sigma: int, depth: int | None = None) -> np.ndar
     piece = _pieces(s, lms)[place[sorted_lms]]
     names = np.zeros(len(lms), dtype=np.int64)
     names[place[sorted_lms]] = np.concatenate([[0], np.cumsum(piece[1:] != piece[:-1])])
-    # An LMS substring is 2 symbols long at least, its last being the next one's first.
-    reach = 1
-    while names.max() + 1 < len(names) and (depth is None or reach <= depth):
-        follow = np.concatenate([names[reach:] + 1, np.zeros(min(reach, len(names)), dtype=np.int64)])
-        both = names * (len(names) + 1) + follow
-        order = np.argsort(both)
-        names[order] = np.concatenate([[0], np.cumsum(both[order][1:] != both[order][:-1])])
-        reach *= 2
-    return induce(s, small, lms[np.argsort(names)], sigma)
+    several = int(names.max()) + 1
+    if several == len(names):
+        return induce(s, small, lms[np.argsort(names)], sigma)
+    if several <= FEW or 2 * len(names) > 0.8 * len(s):
+        order = suffix_array(np.append(names + 1, 0), several + 1)[1:]
+    else:
+        base = int(np.ceil(np.sqrt(several)))
+        digits = np.zeros(2 * len(names) + 1, dtype=np.int32)
+        digits[:-1:2], digits[1::2] = names // base + 1, names % base + 1
+        order = suffix_array(digits, base + 2)
+        order = order[(order % 2 == 0) & (order < 2 * len(names))] // 2
+    return induce(s, small, lms[order], sigma)
 
 
 def permuted_common_prefixes(data: np.ndarray, order: np.ndarray, most: int) -> np.ndarray:

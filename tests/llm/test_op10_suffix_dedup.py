@@ -4,9 +4,9 @@ import random
 import numpy as np
 
 from quern.llm.exact_substrings import remove_repeats
-from quern.llm.queries import op10_suffix_dedup
+from quern.llm.queries import ORACLE_SQL, op10_suffix_dedup
 from quern.llm.suffixes import permuted_common_prefixes, suffix_array
-from tests.compare import SMALL
+from tests.compare import SMALL, of_spark, oracle
 
 
 def test_suffix_arrays():
@@ -70,3 +70,28 @@ def test_long_text_and_empty_table(spark):
     rows = [(1, long), (2, "q" * 10 + long[70_000:130_000] + "r"), (3, long[-49:])]
     assert run(spark, rows) == plain(rows)
     assert run(spark, []) == []
+
+
+def test_long_suffix_arrays():
+    rng = np.random.default_rng(4)
+    for n, sigma in ((20_000, 3), (30_000, 200), (5_000, 2)):
+        own = rng.integers(1, sigma, size=n)
+        s = np.concatenate([own, own[: n // 2], own[n // 3 :], [0]])
+        sa = suffix_array(s, sigma)
+        rank = np.zeros(len(s), dtype=np.int64)
+        rank[sa] = np.arange(len(s))
+        assert sorted(sa.tolist()) == list(range(len(s)))
+        a, b = sa[:-1], sa[1:]  # each suffix is below the next: by first symbol, then by the order of what follows
+        assert ((s[a] < s[b]) | ((s[a] == s[b]) & (rank[np.minimum(a + 1, len(s) - 1)] < rank[np.minimum(b + 1, len(s) - 1)]))).all()
+    s = np.concatenate([np.tile([1, 2], 4_000), np.full(3_000, 1), [0]])
+    assert suffix_array(s, 3).tolist() == sorted(range(len(s)), key=lambda i: bytes(s[i:].tolist()))
+
+
+def test_equals_sql(spark):
+    assert of_spark(op10_suffix_dedup(spark, SMALL)) == oracle(ORACLE_SQL["op10_suffix_dedup"])
+
+
+def test_tables_on_the_way_are_deleted(spark):
+    docs = spark.createDataFrame([(1, "x" * 80), (2, "x" * 90)], "doc_id long, text string")
+    before = {t.name for t in spark.catalog.listTables()}
+    assert remove_repeats(docs).count() == 2 and {t.name for t in spark.catalog.listTables()} == before
