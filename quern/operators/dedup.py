@@ -125,3 +125,16 @@ def near_pairs(docs: DataFrame, least: float = 0.8, id_col: str = "doc_id", text
     one, other = members.withColumnsRenamed({"k": "a", "id": "x"}), members.withColumnsRenamed({"k": "b", "id": "y"})
     across = pairs.join(one, "a").join(other, "b").filter("x <> y").select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b"), "jaccard")
     return equal.unionByName(across)
+
+
+def near_firsts(docs: DataFrame, least: float = 0.8, id_col: str = "doc_id", text: str = "text") -> DataFrame:
+    """(a, b, jaccard), a < b: each row with the first of its equal word sets, and all near pairs of such first rows.
+
+    No link between different word sets is lost, and copies give one row each instead of all their pairs.
+    """
+    members, classes, pairs = near_classes(docs, least, id_col, text)
+    equal = members.join(classes.filter("copies > 1").select("k", "first"), "k").filter("id <> first").select(F.col("first").alias("a"), F.col("id").alias("b"), F.lit(1.0).alias("jaccard"))
+    firsts = classes.select("k", "first")
+    one, other = firsts.withColumnsRenamed({"k": "a", "first": "x"}), firsts.withColumnsRenamed({"k": "b", "first": "y"})
+    across = pairs.join(one, "a").join(other, "b").filter("x <> y").select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b"), "jaccard")
+    return equal.unionByName(across)

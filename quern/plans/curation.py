@@ -99,11 +99,14 @@ def minhash_signature(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def lsh_candidates(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return dedup.candidates(_signed(spark, sf_dir))
+    """Candidate pairs of the first documents of equal signatures; the others are candidates of the same partners."""
+    firsts = _signed(spark, sf_dir).filter("sig is not null").groupBy("sig").agg(F.min("doc_id").alias("doc_id"))
+    return dedup.candidates(firsts)
 
 
 def near_dup_pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
-    found = dedup.near_pairs(spread(table(spark, sf_dir, "documents")))
+    """Documents with equal word sets as pairs with their first one, and all near pairs of these first ones."""
+    found = dedup.near_firsts(spread(table(spark, sf_dir, "documents")))
     return found.select("a", "b", F.round("jaccard", 6).alias("jaccard"))
 
 
@@ -137,9 +140,12 @@ def mix_shares(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def citation_fuzzy(spark: SparkSession, sf_dir: str) -> DataFrame:
-    d = table(spark, sf_dir, "documents").select("doc_id", F.substring("text", 1, 16).alias("citation"))
-    cited = d.select(F.col("doc_id").alias("example_id"), F.when(F.col("doc_id") % 2 == 0, F.col("citation")).otherwise(F.concat(F.substring("citation", 1, 8), F.lit("#"), F.substring("citation", 10, 7))).alias("citation"))
-    return citations.verify(cited, d.filter("doc_id % 3 <> 0"))
+    """Parts are works; each is cited once, whole, or with one, two or three edits at changing places."""
+    p = table(spark, sf_dir, "part").select(F.col("p_partkey").alias("id"), F.concat_ws(" ", "p_brand", "p_name", F.col("p_partkey") % 10).alias("work"))
+    at = F.pmod(F.col("id") * 7, F.length("work")) + 1
+    spoiled = F.when(F.col("id") % 4 == 0, F.col("work")).when(F.col("id") % 4 == 1, F.concat(F.substr("work", F.lit(1), at - 1), F.lit("#"), F.substr("work", at + 1)))
+    spoiled = spoiled.when(F.col("id") % 4 == 2, F.concat(F.lit("%"), F.substr("work", F.lit(1), at - 1), F.substr("work", at + 1))).otherwise(F.concat(F.substr("work", F.lit(1), at), F.lit("###"), F.substr("work", at + 1)))
+    return citations.verify(p.select(F.col("id").alias("example_id"), spoiled.alias("citation")), p.select(F.col("work").alias("citation")))
 
 
 def judge_pass(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -219,8 +225,10 @@ def provenance_join(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def grounded_only(spark: SparkSession, sf_dir: str) -> DataFrame:
-    d = table(spark, sf_dir, "documents")
-    return assembly.not_verbatim(d.filter("doc_id % 2 = 1"), d.filter("doc_id % 2 = 0")).select("doc_id")
+    """Documents that are no benchmark text and hold none as their whole first line."""
+    d, g = table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark")
+    first = F.substring_index("text", "\n", 1)
+    return assembly.not_verbatim(assembly.not_verbatim(d, g).withColumn("line", first), g, "line").select("doc_id")
 
 
 def hallucination_rate(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -228,7 +236,7 @@ def hallucination_rate(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def source_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return assembly.admitted_sources(table(spark, sf_dir, "documents"), F.length("text") >= 500, "source", 0.8, 30).select("source", "audited", F.round("pass_rate", 6).alias("pass_rate"), "admitted")
+    return assembly.admitted_sources(table(spark, sf_dir, "documents"), F.length("text") >= 500, "source", 0.8, 500).select("source", "audited", F.round("pass_rate", 6).alias("pass_rate"), "admitted")
 
 
 def paired_eval(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -276,10 +284,9 @@ _WORDS = "list_filter(regexp_split_to_array(coalesce(text, ''), '[\\x20\\x09-\\x
 _SET = "list_distinct(list_filter(regexp_split_to_array(lower(coalesce(text, '')), '[\\x20\\x09-\\x0D]+'), lambda w: w <> ''))"
 _SIG = ", ".join(f"list_min(list_transform(w, lambda x: substring(sha256(x), {8 * k + 1}, 8)))" for k in range(8))
 _SIGNED = f"s AS (SELECT doc_id, w, CASE WHEN len(w) > 0 THEN [{_SIG}] END AS sig FROM (SELECT doc_id, {_SET} AS w FROM documents))"
-_BANDS = f"""{_SIGNED},
-b AS (SELECT doc_id, i, sig[2 * i + 1] || sig[2 * i + 2] AS h FROM s, range(4) t(i) WHERE sig IS NOT NULL),
-g AS (SELECT i, h, min(doc_id) AS a FROM b GROUP BY i, h),
-c AS (SELECT DISTINCT g.a, b.doc_id AS b FROM b JOIN g ON b.i = g.i AND b.h = g.h WHERE b.doc_id > g.a)"""
+#: Pairs of rows x and y of a table that agree in the first, second, third or fourth quarter of their signatures, found quarter by quarter.
+_MEET = """SELECT DISTINCT x.{id} AS a, y.{id} AS b FROM (SELECT {id}, sig, q, sig[2 * q + 1:2 * q + 2] AS own FROM {t}, range(4) r(q)) x
+    JOIN (SELECT {id}, sig, q, sig[2 * q + 1:2 * q + 2] AS own FROM {t}, range(4) r(q)) y ON x.q = y.q AND x.own = y.own AND x.{id} < y.{id}"""
 _GRAMS = "SELECT DISTINCT {key}, array_to_string(w[i:i + 12], ' ') AS g FROM (SELECT {key}, list_filter(regexp_split_to_array(lower(coalesce(text, '')), '[^\\p{{L}}\\p{{N}}]+'), lambda x: x <> '') AS w FROM {table}), unnest(range(1, len(w) - 11)) t(i)"
 _FLOORS = """
 CASE WHEN coalesce(len(regexp_extract_all(text, '[^\\x20\\x09-\\x0D]+')) >= 20, false) THEN NULL ELSE 'length' END AS r1,
@@ -321,12 +328,15 @@ ORACLE_SQL = {
         WHERE license IN ('apache', 'mit')""",
     "exact_dedup": "SELECT min(doc_id) AS doc_id, count(*) AS n_copies FROM documents GROUP BY coalesce(text, '')",
     "minhash_signature": f"WITH {_SIGNED} SELECT doc_id, array_to_string(sig, '') AS sig FROM s",
-    "lsh_candidates": f"WITH {_BANDS} SELECT a, b FROM c",
-    "near_dup_pairs": f"""WITH {_BANDS}, j AS (SELECT c.a, c.b, len(list_intersect(x.w, y.w)) AS i, len(x.w) + len(y.w) AS n FROM c JOIN s x ON c.a = x.doc_id JOIN s y ON c.b = y.doc_id)
-        SELECT a, b, round(i / (n - i), 6) AS jaccard FROM j WHERE i / (n - i) >= 0.8::DOUBLE""",
+    "lsh_candidates": f"WITH {_SIGNED}, g AS (SELECT min(doc_id) AS doc_id, sig FROM s WHERE sig IS NOT NULL GROUP BY sig) {_MEET.format(id='doc_id', t='g')}",
+    "near_dup_pairs": f"""WITH {_SIGNED}, d AS (SELECT doc_id, list_sort(w) AS w, sig FROM s WHERE sig IS NOT NULL),
+        f AS (SELECT min(doc_id) AS doc_id, w, min(sig) AS sig FROM d GROUP BY w), m AS ({_MEET.format(id='doc_id', t='f')}),
+        j AS (SELECT m.a, m.b, len(list_intersect(x.w, y.w)) AS i, len(x.w) + len(y.w) AS n FROM m JOIN f x ON m.a = x.doc_id JOIN f y ON m.b = y.doc_id)
+        SELECT a, b, round(i / (n - i), 6) AS jaccard FROM j WHERE i / (n - i) >= 0.8::DOUBLE
+        UNION ALL SELECT f.doc_id AS a, d.doc_id AS b, 1.0::DOUBLE AS jaccard FROM d JOIN f ON d.w = f.w AND d.doc_id > f.doc_id""",
     "decontam_13gram": f"""WITH d AS ({_GRAMS.format(key="doc_id", table="documents")}), p AS ({_GRAMS.format(key="item_id", table="benchmark")})
         SELECT doc_id, count(*) AS n_shared FROM d WHERE g IN (SELECT g FROM p) GROUP BY doc_id""",
-    "embed_screen": """SELECT v.vec_id, count(*) AS n_near FROM embeddings v JOIN embeddings p ON p.label = 0 AND p.vec_id < 500 AND p.vec_id <> v.vec_id
+    "embed_screen": """SELECT v.vec_id, count(*) AS n_near FROM embeddings v JOIN embeddings p ON p.label = 0 AND p.vec_id <> v.vec_id
         WHERE list_cosine_similarity(v.embedding::DOUBLE[], p.embedding::DOUBLE[]) >= 0.35 GROUP BY v.vec_id""",
     "chunk_words": f"""WITH w AS (SELECT doc_id, {_WORDS} AS w FROM documents)
         SELECT doc_id, i AS chunk_ix, md5(array_to_string(w[i * 256 + 1:i * 256 + 256], ' ')) AS chunk_hash, len(w[i * 256 + 1:i * 256 + 256]) AS n_words
@@ -336,12 +346,14 @@ ORACLE_SQL = {
     "mix_quota": """SELECT doc_id, lang FROM (SELECT *, row_number() OVER (PARTITION BY lang ORDER BY md5('3407:' || doc_id), doc_id) AS k FROM documents)
         WHERE k <= CASE lang WHEN 'en' THEN 60 WHEN 'fr' THEN 16 WHEN 'de' THEN 24 ELSE 0 END""",
     "mix_shares": "SELECT lang, count(*) AS n, round(count(*) / (SELECT count(*) FROM documents), 6) AS share FROM documents GROUP BY lang",
-    "citation_fuzzy": """WITH d AS (SELECT doc_id, substring(text, 1, 16) AS c FROM documents WHERE text IS NOT NULL),
-        q AS (SELECT doc_id, CASE WHEN doc_id % 2 = 0 THEN c ELSE substring(c, 1, 8) || '#' || substring(c, 10, 7) END AS c FROM d),
-        w AS (SELECT DISTINCT c AS w FROM d WHERE doc_id % 3 <> 0),
-        e AS (SELECT doc_id, c, EXISTS (SELECT 1 FROM w WHERE w = c) AS x,
-                     EXISTS (SELECT 1 FROM w WHERE substring(w, 1, 4) = substring(c, 1, 4) AND levenshtein(w, c) <= 2) AS y FROM q)
-        SELECT doc_id AS example_id, count(*) AS n_cited, count_if(x)::BIGINT AS n_exact, count_if(y AND NOT x)::BIGINT AS n_fuzzy, bool_and(x OR y) AS ok FROM e GROUP BY doc_id""",
+    "citation_fuzzy": """WITH p AS (SELECT p_partkey AS id, concat_ws(' ', p_brand, p_name, p_partkey % 10) AS work FROM part),
+        q AS (SELECT *, CAST(id * 7 % length(work) AS INT) + 1 AS k FROM p),
+        c AS (SELECT id, CASE id % 4 WHEN 0 THEN work WHEN 1 THEN left(work, k - 1) || '#' || substring(work, k + 1) WHEN 2 THEN '%' || left(work, k - 1) || substring(work, k + 1)
+              ELSE left(work, k) || '###' || substring(work, k + 1) END AS c FROM q),
+        w AS (SELECT DISTINCT work FROM p),
+        e AS (SELECT c.id, c.c, bool_or(w.work = c.c) AS x, bool_or(levenshtein(w.work, c.c) <= 2) AS y FROM c JOIN w ON abs(length(w.work) - length(c.c)) <= 2 GROUP BY c.id, c.c)
+        SELECT c.id AS example_id, 1::BIGINT AS n_cited, coalesce(x, false)::BIGINT AS n_exact, (coalesce(y, false) AND NOT coalesce(x, false))::BIGINT AS n_fuzzy, coalesce(x OR y, false) AS ok
+        FROM c LEFT JOIN e ON c.id = e.id""",
     "judge_pass": "SELECT doc_id AS example_id, bool_and(1 + 4 * quality >= 4 AND 5 - 4 * toxic >= 4) AS passed FROM labels GROUP BY doc_id",
     "audit_rate": "SELECT count(*) AS n, round(avg((quality <> 1 - toxic)::INT), 6) AS disagreement, avg((quality <> 1 - toxic)::INT) > 0.15 AS rejudge FROM labels",
     "win_rate": """WITH i AS (SELECT user_id, avg(CASE WHEN event_type = 'purchase' THEN 1.0::DOUBLE ELSE 0.0 END) AS w FROM events GROUP BY user_id)
@@ -363,13 +375,13 @@ ORACLE_SQL = {
         trim(regexp_replace(regexp_replace(html, '(?is)<script\b.*?</script>|<style\b.*?</style>|<[^>]*>', ' ', 'g'), '[\x20\x09-\x0D]+', ' ', 'g')) AS t FROM pages)
         SELECT page_id, regexp_extract(url, '^[a-z]+://([^/:]+)', 1) AS host, url, length(t) AS n_text, md5(t) AS text_hash FROM p""",
     "provenance_join": "SELECT d.doc_id AS chunk_id, lang, quality, toxic FROM documents d JOIN labels l ON d.doc_id = l.doc_id",
-    "grounded_only": """SELECT doc_id FROM documents WHERE doc_id % 2 = 1
-        AND (text IS NULL OR trim(text) NOT IN (SELECT trim(text) FROM documents WHERE doc_id % 2 = 0 AND text IS NOT NULL))""",
+    "grounded_only": """SELECT doc_id FROM documents WHERE text IS NULL
+        OR trim(text) NOT IN (SELECT trim(text) FROM benchmark WHERE text IS NOT NULL) AND trim(split_part(text, chr(10), 1)) NOT IN (SELECT trim(text) FROM benchmark WHERE text IS NOT NULL)""",
     "hallucination_rate": """SELECT count(*) AS n, round(avg(coalesce(contains(text, 'Licen'), false)::INT), 6) AS rate
         FROM (SELECT * FROM documents ORDER BY md5('3407:' || doc_id), doc_id LIMIT 200)""",
     "source_audit": """WITH r AS (SELECT *, row_number() OVER (PARTITION BY source ORDER BY md5('3407:' || doc_id), doc_id) AS k FROM documents)
         SELECT source, count(*) AS audited, round(avg(coalesce(length(text) >= 500, false)::INT), 6) AS pass_rate, avg(coalesce(length(text) >= 500, false)::INT) >= 0.8 AS admitted
-        FROM r WHERE k <= 30 GROUP BY source""",
+        FROM r WHERE k <= 500 GROUP BY source""",
     "paired_eval": """WITH s AS (SELECT event_type, user_id, count(*)::DOUBLE AS n FROM events GROUP BY ALL),
         a AS (SELECT * FROM s WHERE event_type = 'signup'), b AS (SELECT * FROM s WHERE event_type = 'purchase')
         SELECT coalesce(a.user_id, b.user_id) AS item_id, a.n AS baseline, b.n AS adapter FROM a FULL JOIN b ON a.user_id = b.user_id""",
@@ -381,9 +393,7 @@ ORACLE_SQL = {
     "assembled_set": f"""WITH floors AS (SELECT doc_id, text, lang, source, {_FLOORS.replace("('en')", "('en', 'fr', 'de')")} FROM documents),
         fl AS (SELECT * FROM floors WHERE coalesce(r1, r2, r3) IS NULL AND length(text) <= 32768),
         s AS (SELECT doc_id, w, CASE WHEN len(w) > 0 THEN [{_SIG}] END AS sig FROM (SELECT doc_id, {_SET} AS w FROM fl)),
-        b AS (SELECT doc_id, i, sig[2 * i + 1] || sig[2 * i + 2] AS h FROM s, range(4) t(i) WHERE sig IS NOT NULL),
-        g AS (SELECT i, h, min(doc_id) AS a FROM b GROUP BY i, h),
-        c AS (SELECT DISTINCT g.a, b.doc_id AS b FROM b JOIN g ON b.i = g.i AND b.h = g.h WHERE b.doc_id > g.a),
+        v AS (SELECT * FROM s WHERE sig IS NOT NULL), c AS ({_MEET.format(id="doc_id", t="v")}),
         j AS (SELECT c.b, len(list_intersect(x.w, y.w)) AS i, len(x.w) + len(y.w) AS n FROM c JOIN s x ON c.a = x.doc_id JOIN s y ON c.b = y.doc_id),
         u AS (SELECT * FROM fl WHERE doc_id NOT IN (SELECT b FROM j WHERE i / (n - i) >= 0.8::DOUBLE)),
         d AS ({_GRAMS.format(key="doc_id", table="u")}), p AS ({_GRAMS.format(key="item_id", table="benchmark")}),
