@@ -5,17 +5,8 @@ from __future__ import annotations
 import numpy as np
 
 
-#: So many names are sorted bucket by bucket as they are.
-FEW = 1024
-
-
-def _ranks_in_groups(groups: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """A stable order by group (radix sort: groups are of 16 bits) and each ordered entry's rank in its group."""
-    order = np.argsort(groups, kind="stable")
-    own = groups[order]
-    first = np.concatenate([[True], own[1:] != own[:-1]])
-    at = np.flatnonzero(first)
-    return order, np.arange(len(own)) - np.repeat(at, np.diff(np.concatenate([at, [len(own)]])))
+#: So many names are sorted bucket by bucket as they are; so short strings of names are sorted without recursion.
+FEW, SHORT = 1024, 1 << 18
 
 
 def classify(s: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -41,17 +32,25 @@ def induce(s: np.ndarray, small: np.ndarray, lms: np.ndarray, sigma: int) -> np.
     ends = np.cumsum(counts)
     starts = ends - counts
     n_large = np.bincount(s[~small], minlength=sigma)
-    sa = np.full(n, -1, dtype=np.int64)
-    order, rank = _ranks_in_groups(s[lms])
-    seeds = np.bincount(s[lms], minlength=sigma)
-    sa[(ends - seeds)[s[lms][order]] + rank] = lms[order]
+    sa = np.full(n, -1, dtype=np.int32)
+    steps = np.arange(n)
 
     def put(before: np.ndarray, free: np.ndarray, step: int) -> None:
+        """Places `before`, in their order, from the free ends of their symbols' buckets on, upward or downward."""
         symbols = s[before]
-        order, rank = _ranks_in_groups(symbols)
-        symbols = symbols[order]
-        sa[free[symbols] + (rank if step > 0 else -1 - rank)] = before[order]
-        free += step * np.bincount(symbols, minlength=sigma)
+        order = np.argsort(symbols, kind="stable")  # radix sort: symbols are of 16 bits
+        many = np.bincount(symbols, minlength=sigma)
+        first = many.cumsum()
+        first -= many
+        if step > 0:
+            sa[(free - first)[symbols[order]] + steps[: len(order)]] = before[order]
+            free += many
+        else:
+            sa[(free + first - 1)[symbols[order]] - steps[: len(order)]] = before[order]
+            free -= many
+
+    seeds = np.bincount(s[lms], minlength=sigma)
+    put(lms, ends - seeds, 1)
 
     used = np.flatnonzero(counts)
     heads = starts.copy()
@@ -102,13 +101,27 @@ def _pieces(s: np.ndarray, lms: np.ndarray) -> np.ndarray:
     return x ^ (ends - lms).astype(np.uint64) * np.uint64(0x94D049BB133111EB)
 
 
+def _doubled(names: np.ndarray) -> np.ndarray:
+    """Order of the suffixes of a short string of names, by doubling ranks."""
+    reach = 1
+    while names.max() + 1 < len(names):
+        follow = np.concatenate([names[reach:] + 1, np.zeros(min(reach, len(names)), dtype=np.int64)])
+        both = names * (len(names) + 1) + follow
+        order = np.argsort(both)
+        names = np.empty_like(names)
+        names[order] = np.concatenate([[0], np.cumsum(both[order][1:] != both[order][:-1])])
+        reach *= 2
+    return np.argsort(names)
+
+
 def suffix_array(s: np.ndarray, sigma: int) -> np.ndarray:
     """Suffix array of s, whose symbols are below sigma; its last symbol is its smallest and occurs once.
 
     LMS substrings are sorted by induction from the text order and named by rank. Where names repeat, the string of names is
     sorted in the same way, by recursion, and its order induces that of all suffixes. Names are half of the symbols at most, in
     texts a third. As the induction goes bucket by bucket, many names are written in two digits of some sqrt(names) values,
-    unless that would not make the string shorter.
+    unless that would not make the string shorter. The recursion ends when no name repeats, or with SHORT names, of which
+    buckets would hold next to nothing.
     """
     small, lms = classify(s)
     if not len(lms):
@@ -125,7 +138,9 @@ def suffix_array(s: np.ndarray, sigma: int) -> np.ndarray:
     several = int(names.max()) + 1
     if several == len(names):
         return induce(s, small, lms[np.argsort(names)], sigma)
-    if several <= FEW or 2 * len(names) > 0.8 * len(s):
+    if len(names) <= SHORT:
+        order = _doubled(names)
+    elif several <= FEW or 2 * len(names) > 0.8 * len(s):
         order = suffix_array(np.append(names + 1, 0), several + 1)[1:]
     else:
         base = int(np.ceil(np.sqrt(several)))
