@@ -87,3 +87,19 @@ def test_empty_documents(spark):
     docs = spark.read.parquet(f"{SF}/documents.parquet").limit(0)
     for _, stage in corpus_pipeline.STAGES:
         assert stage(spark, docs, SF).count() == 0
+
+
+def test_nulls_long_texts_repeats_and_clashing_columns(spark):
+    docs = spark.read.parquet(f"{SF}/documents.parquet").limit(60)
+    columns, types = docs.columns, dict(docs.dtypes)
+    odd = [{"doc_id": 10**6, "text": None}, {"doc_id": None, "text": "some words. " * 30}, {"doc_id": 10**6 + 1, "text": "long words here. " * 60_000, "source": None}, {"doc_id": 10**6 + 2, "text": ""}]
+    schema = ", ".join(f"{c} {types[c]}" for c in columns)
+    rows = spark.createDataFrame([tuple(r.get(c) for c in columns) for r in odd * 2], schema)
+    wide = docs.unionByName(rows).selectExpr("*", "1 AS leaks", "2 AS p_best", "3 AS n_lines", "4 AS times", "5 AS class_id", "6 AS __q_key")
+    for name, stage in corpus_pipeline.STAGES:
+        out = stage(spark, wide, SF)
+        got = out.collect()
+        assert out.columns == (wide.columns if name != "mixing" else [*[c for c in wide.columns if c != "times"], "times"])
+        assert 0 < len(got) <= wide.count() and (name != "line_dedup" or len(got) == wide.count())
+        if name == "near_duplicates":  # rows that repeat an id stay together, texts without words and null ids are left alone
+            assert sum(r.doc_id is None for r in got) == 2 and sum(r.text in (None, "") for r in got) >= 4
