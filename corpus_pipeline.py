@@ -24,7 +24,7 @@ def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents without their source's boilerplate lines; n_chars follows the text."""
-    return drop_boilerplate(docs).withColumn("n_chars", F.length("text").cast("long")).select(*docs.columns)
+    return drop_boilerplate(docs, ratio=0.1, min_pages=3).withColumn("n_chars", F.length("text").cast("long")).select(*docs.columns)
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
