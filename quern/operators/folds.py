@@ -34,6 +34,33 @@ def greedy_groups(rows: DataFrame, shard: str, order: str, size: str, least: int
     return rows.select(shard, order, size).groupBy(shard).applyInPandas(fold, f"{shard} {kinds[shard]}, {order} {kinds[order]}, {size} {kinds[size]}, group_id long")
 
 
+def shards_for(rows: int, most: int = 100_000) -> int:
+    """How many shards keep each at some `most` rows."""
+    return max(1, -(-rows // most))
+
+
+def first_groups(rows: DataFrame, order: str, size: str, least: int, n: int, start: int = 1024) -> DataFrame:
+    """(order, size, group_id): the first n groups over all rows in one order; what follows them is not looked at.
+
+    Rows are taken in order, twice as many each time, until they complete n groups or there are no more, so what is gathered
+    is bounded by what n groups hold.
+    """
+    kinds, spark = dict(rows.dtypes), rows.sparkSession
+    while True:
+        held = rows.select(order, size).orderBy(order).limit(start).collect()
+        out, group, total, at = [], 0, 0, 0
+        for i, (key, x) in enumerate(held):
+            out.append((key, x, group))
+            total += x or 0
+            if total >= least:
+                group, total, at = group + 1, 0, i + 1
+                if group == n:
+                    break
+        if group == n or len(held) < start:
+            return spark.createDataFrame(out[:at], f"{order} {kinds[order]}, {size} {kinds[size]}, group_id long")
+        start *= 2
+
+
 def best_fit_bins(sizes: list[int], capacity: int) -> list[int]:
     """Best fit decreasing: the bin of each size, longest first, in the fullest bin that has room; -1 for sizes beyond capacity."""
     out, room, made = [-1] * len(sizes), [], 0

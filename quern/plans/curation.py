@@ -6,7 +6,8 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..operators import assembly, chat, chunking, citations, decontam, dedup, folds, gates, guard, ledger, manifest, reports, splits, turns
-from ..sources.tables import clean_pages, spread
+from ..sources.shared import shared_path
+from ..sources.tables import CONVERSATION, clean_pages, read_jsonl, spread, write_jsonl
 from .relational import table
 
 BT, ET, BS, ES = turns.BEGIN_THOUGHT, turns.END_THOUGHT, turns.BEGIN_SOLUTION, turns.END_SOLUTION
@@ -42,12 +43,14 @@ def mask_coverage(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def probe_greedy(spark: SparkSession, sf_dir: str) -> DataFrame:
     t = table(spark, sf_dir, "conversations").filter("role <> 'system'").groupBy("conv_id").agg(F.sum(F.length(F.coalesce("text", F.lit("")))).alias("chars"))
-    groups = folds.greedy_groups(t.withColumn("shard", F.col("conv_id") % 4), "shard", "conv_id", "chars", 6000)
+    shards = folds.shards_for(t.count())
+    groups = folds.greedy_groups(t.withColumn("shard", F.col("conv_id") % shards), "shard", "conv_id", "chars", folds.least_chars(1000))
     return groups.groupBy("shard", "group_id").agg(F.count(F.lit(1)).alias("n_rows"), F.sum("chars").alias("chars"), F.min("conv_id").alias("first_conv"))
 
 
 def pack_bins(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rows = table(spark, sf_dir, "documents").select("doc_id", (F.col("doc_id") % 16).alias("shard"), F.ceil(F.length("text") / 4).alias("tokens"))
+    docs = table(spark, sf_dir, "documents")
+    rows = docs.select("doc_id", (F.col("doc_id") % folds.shards_for(docs.count())).alias("shard"), F.ceil(F.length("text") / 4).alias("tokens"))
     return folds.pack(rows, "shard", "doc_id", "tokens", 8192)
 
 
@@ -261,6 +264,86 @@ def assembled_set(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("doc_id", "lang", "source", "split")
 
 
+def probe_first(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The first 8 groups of at least 6,000 characters, over all conversations in order."""
+    t = table(spark, sf_dir, "conversations").filter("role <> 'system'").groupBy("conv_id").agg(F.sum(F.length(F.coalesce("text", F.lit("")))).alias("chars"))
+    return folds.first_groups(t, "conv_id", "chars", folds.least_chars(None, 1000), 8).groupBy("group_id").agg(F.count(F.lit(1)).alias("n_rows"), F.sum("chars").alias("chars"))
+
+
+def jsonl_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Conversations as nested JSON lines, staged, counted, published, and read back under their schema."""
+    c = turns.require_rows(table(spark, sf_dir, "conversations"), 10)
+    turn = F.struct(F.col("turn"), F.col("role").alias("from"), F.col("text").alias("value"))
+    nested = c.groupBy(F.col("conv_id").alias("ordinal")).agg(F.transform(F.array_sort(F.collect_list(turn)), lambda x: F.struct(x["from"].alias("from"), x["value"].alias("value"))).alias("conversations"))
+    path = shared_path(spark, "lines")
+    write_jsonl(nested, path, least=10)
+    back = turns.first_turns_nested(read_jsonl(spark, path, CONVERSATION, own=True))
+    return back.select(F.col("ordinal").alias("conv_id"), F.size("conversations").cast("long").alias("n_turns"), F.length("user").cast("long").alias("n_user"))
+
+
+def judge_panel(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Three judges, of which one is of the generator's family and another's family depends on the row."""
+    lab = table(spark, sf_dir, "labels").select(F.col("doc_id").alias("example_id"), "quality")
+    family = F.expr("stack(3, 'a', 'x', 'b', CASE WHEN quality = 1 THEN 'y' ELSE 'x' END, 'c', 'g') AS (judge, judge_family)")
+    return gates.judge_pairs(lab.select("example_id", F.lit("g").alias("generator_family"), family)).select("example_id", "judge_a", "judge_b")
+
+
+def citation_scope(spark: SparkSession, sf_dir: str) -> DataFrame:
+    p = table(spark, sf_dir, "part")
+    cited = F.array(F.concat(F.lit("IPC "), "p_size"), F.concat(F.lit("BNS "), F.col("p_partkey") % 7))
+    grounded = F.when(F.col("p_partkey") % 2 == 0, F.array(F.concat(F.lit("IPC "), "p_size"))).otherwise(F.array(F.lit("BNS 3"), F.lit("CRPC 1")))
+    out = citations.ungrounded(p.select("p_partkey", cited.alias("cited"), grounded.alias("grounded")))
+    return out.select("p_partkey", F.array_join("extra", ",").alias("extra"), F.array_join("cross_code", ",").alias("cross_code"))
+
+
+def decision_gate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Sources as instruments: shares of toxic and of good documents as the scores before and after."""
+    d = table(spark, sf_dir, "documents").join(table(spark, sf_dir, "labels"), "doc_id")
+    r = d.groupBy(F.when(F.col("lang") == "en", "target").otherwise(F.col("lang")).alias("instrument")).agg((100 * F.avg("toxic")).alias("baseline"), (100 * F.avg("quality")).alias("adapter"))
+    return reports.decide(r).select(F.round("delta", 6).alias("delta"), F.round("worst_guard", 6).alias("worst_guard"), "decision")
+
+
+def run_budget(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Sizes, waits, precision and step tokens of pinned runs, one a part."""
+    p = table(spark, sf_dir, "part").select(F.col("p_partkey").alias("run_id"), "p_size", F.concat(F.lit("sha"), "p_partkey").alias("revision"))
+    flags, size = manifest.precision_flags(F.col("p_size") > 25), F.col("p_size").cast("long")
+    return manifest.require_pin(p).select(
+        "run_id", "revision", reports.dataset_size(size, F.lit(438), F.lit(2500)).alias("examples"), ledger.backoff(size % 12, 1.0, 300.0).alias("wait_s"), flags["fp16"].alias("fp16"), flags["bf16"].alias("bf16"),
+        manifest.tokens_per_step(size, F.lit(1), F.lit(2), F.lit(2)).alias("step_tokens"),
+    )
+
+
+def mode_requests(spark: SparkSession, sf_dir: str) -> DataFrame:
+    modes = spark.createDataFrame([("F", ["--max-steps", "60"]), ("O", ["--probe"]), ("P", [])], "mode string, args array<string>")
+    out = manifest.mode_args(table(spark, sf_dir, "orders").select("o_orderkey", F.col("o_orderstatus").alias("mode")), modes)
+    return out.select("o_orderkey", F.array_join("args", " ").alias("args"))
+
+
+def decontam_quotable(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Shared 13-grams, but for those of texts that may be quoted: here the benchmark's own texts of up to 200 characters."""
+    b = table(spark, sf_dir, "benchmark")
+    return decontam.contaminated(spread(table(spark, sf_dir, "documents")), b, quotable=b.filter(F.length("text") <= 200))
+
+
+def win_rate_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Each order is judged twice, in either order of the two answers: an item's score is the mean of both."""
+    o = table(spark, sf_dir, "orders")
+    ahead, behind = F.when(F.col("o_totalprice") > 150000, 1.0).otherwise(0.0), F.when(F.col("o_orderpriority") < "3", 1.0).otherwise(0.0)
+    both = o.select(F.col("o_orderkey").alias("item_id"), F.explode(F.array(ahead, behind)).alias("win"))
+    return reports.win_rate(both).select("items", F.round("rate", 6).alias("rate"), "reached")
+
+
+def device_report(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Customers as runs, orders as readings: peaks by device (the year's parity) in units of 10 ** 9."""
+    o = table(spark, sf_dir, "orders").select(F.col("o_custkey").alias("run_id"), (F.year("o_orderdate") % 2).alias("device"), (F.col("o_totalprice") * 100000).cast("long").alias("peak_bytes"))
+    return reports.device_peaks(o).select("run_id", "peak_gb", F.size("per_device").cast("long").alias("devices"))
+
+
+def run_throughput(spark: SparkSession, sf_dir: str) -> DataFrame:
+    o = table(spark, sf_dir, "orders").select("o_orderkey", F.lit(60).alias("steps"), F.lit(1).alias("batch"), F.lit(2).alias("accum"), F.lit(8192).alias("seq"), F.col("o_totalprice").cast("double").alias("runtime_s"), (F.col("o_orderstatus") == "P").alias("resumed"), F.lit(2).alias("world_size"))
+    return reports.throughput(o).select("o_orderkey", F.round("tok_per_sec_rank", 4).alias("rank_rate"), F.round("tok_per_sec", 4).alias("rate"))
+
+
 QUERIES = {
     f.__name__: f
     for f in (
@@ -268,6 +351,7 @@ QUERIES = {
         lang_toxic_filter, license_filter, exact_dedup, minhash_signature, lsh_candidates, near_dup_pairs, decontam_13gram, embed_screen, chunk_words, chunk_paragraphs, holdout_split,
         mix_quota, mix_shares, citation_fuzzy, judge_pass, audit_rate, win_rate, survival, budget_admit, latest_status, outstanding_work, batch_requests, retention, run_overlay,
         snapshot_sources, page_ingest, provenance_join, grounded_only, hallucination_rate, source_audit, paired_eval, builder_gates, reasoning_share, assembled_set,
+        probe_first, jsonl_round_trip, judge_panel, citation_scope, decision_gate, run_budget, mode_requests, decontam_quotable, win_rate_orders, device_report, run_throughput,
     )
 }
 
@@ -304,13 +388,37 @@ ORACLE_SQL = {
         FROM conversations GROUP BY conv_id""",
     "think_history": """WITH c AS (SELECT *, role = 'assistant' AND turn = max(turn) FILTER (role = 'assistant') OVER (PARTITION BY conv_id) AS latest FROM conversations)
         SELECT conv_id, count_if(latest)::BIGINT AS n_think, sum(length(role) + length(text) + 24 + CASE WHEN latest THEN 19 ELSE 0 END)::BIGINT AS n_chars FROM c GROUP BY conv_id""",
-    "probe_greedy": """WITH RECURSIVE t AS (SELECT conv_id, conv_id % 4 AS shard, sum(length(coalesce(text, ''))) AS chars FROM conversations WHERE role <> 'system' GROUP BY conv_id),
+    "probe_greedy": """WITH RECURSIVE u AS (SELECT conv_id, sum(length(coalesce(text, ''))) AS chars FROM conversations WHERE role <> 'system' GROUP BY conv_id),
+        t AS (SELECT conv_id, conv_id % (SELECT greatest(1, CAST(ceil(count(*) / 100000) AS BIGINT)) FROM u) AS shard, chars FROM u),
         o AS (SELECT *, row_number() OVER (PARTITION BY shard ORDER BY conv_id) AS k FROM t),
         f(shard, k, conv_id, chars, grp, acc) AS (
           SELECT shard, k, conv_id, chars, 0, chars FROM o WHERE k = 1
           UNION ALL SELECT o.shard, o.k, o.conv_id, o.chars, CASE WHEN f.acc >= 6000 THEN f.grp + 1 ELSE f.grp END, CASE WHEN f.acc >= 6000 THEN o.chars ELSE f.acc + o.chars END
           FROM f JOIN o ON o.shard = f.shard AND o.k = f.k + 1)
         SELECT shard, grp::BIGINT AS group_id, count(*) AS n_rows, sum(chars)::BIGINT AS chars, min(conv_id) AS first_conv FROM f GROUP BY shard, grp HAVING sum(chars) >= 6000""",
+    "probe_first": """WITH RECURSIVE t AS (SELECT conv_id, sum(length(coalesce(text, ''))) AS chars FROM conversations WHERE role <> 'system' GROUP BY conv_id),
+        o AS (SELECT *, row_number() OVER (ORDER BY conv_id) AS k FROM t),
+        f(k, chars, grp, acc) AS (SELECT k, chars, 0, chars FROM o WHERE k = 1
+          UNION ALL SELECT o.k, o.chars, CASE WHEN f.acc >= 6000 THEN f.grp + 1 ELSE f.grp END, CASE WHEN f.acc >= 6000 THEN o.chars ELSE f.acc + o.chars END FROM f JOIN o ON o.k = f.k + 1 WHERE f.grp < 8)
+        SELECT grp::BIGINT AS group_id, count(*) AS n_rows, sum(chars)::BIGINT AS chars FROM f WHERE grp < 8 GROUP BY grp HAVING sum(chars) >= 6000""",
+    "jsonl_round_trip": f"""SELECT conv_id, count(*) AS n_turns, length(regexp_replace(arg_min(coalesce(text, ''), turn) FILTER (role = 'user'), '^{_WS}+|{_WS}+$', '', 'g')) AS n_user FROM conversations GROUP BY conv_id""",
+    "judge_panel": "SELECT doc_id AS example_id, 'a' AS judge_a, 'b' AS judge_b FROM labels WHERE quality = 1",
+    "citation_scope": """SELECT p_partkey, CASE WHEN p_partkey % 2 = 0 THEN 'BNS ' || (p_partkey % 7) ELSE 'IPC ' || p_size || CASE WHEN p_partkey % 7 <> 3 THEN ',BNS ' || (p_partkey % 7) ELSE '' END END AS extra,
+        CASE WHEN p_partkey % 2 = 0 THEN 'BNS' ELSE 'IPC' END AS cross_code FROM part""",
+    "decision_gate": """WITH r AS (SELECT CASE WHEN lang = 'en' THEN 'target' ELSE lang END AS i, 100 * avg(quality) - 100 * avg(toxic) AS d FROM documents JOIN labels USING (doc_id) GROUP BY 1),
+        o AS (SELECT max(d) FILTER (i = 'target') AS t, min(d) FILTER (i <> 'target') AS g FROM r)
+        SELECT round(t, 6) AS delta, round(g, 6) AS worst_guard, CASE WHEN coalesce(g, 0) < -2 THEN 'stop' WHEN t >= 3 THEN 'scale' WHEN t > 0 THEN 'confirm' ELSE 'stop' END AS decision FROM o""",
+    "run_budget": """SELECT p_partkey AS run_id, 'sha' || p_partkey AS revision, CAST(p_size AS BIGINT) * 438 * 3600 // 2500 AS examples, least(300.0::DOUBLE, pow(2.0::DOUBLE, p_size % 12)) AS wait_s,
+        p_size <= 25 AS fp16, p_size > 25 AS bf16, CAST(p_size AS BIGINT) * 4 AS step_tokens FROM part""",
+    "mode_requests": "SELECT o_orderkey, CASE o_orderstatus WHEN 'F' THEN '--max-steps 60' WHEN 'O' THEN '--probe' ELSE '' END AS args FROM orders",
+    "decontam_quotable": f"""WITH d AS ({_GRAMS.format(key="doc_id", table="documents")}), p AS ({_GRAMS.format(key="item_id", table="benchmark")}),
+        q AS (SELECT DISTINCT p.g FROM p JOIN benchmark b ON p.item_id = b.item_id WHERE length(b.text) <= 200)
+        SELECT doc_id, count(*) AS n_shared FROM d WHERE g IN (SELECT g FROM p) AND g NOT IN (SELECT g FROM q) GROUP BY doc_id""",
+    "win_rate_orders": """WITH i AS (SELECT ((o_totalprice > 150000)::INT + (o_orderpriority < '3')::INT) / 2 AS w FROM orders)
+        SELECT count(*) AS items, round(avg(w), 6) AS rate, avg(w) >= 0.55 AS reached FROM i""",
+    "device_report": """WITH e AS (SELECT o_custkey, year(o_orderdate) % 2 AS d, max(CAST(trunc(o_totalprice * 100000) AS BIGINT)) AS b FROM orders GROUP BY ALL)
+        SELECT o_custkey AS run_id, round(max(b) / 1e9, 2) AS peak_gb, count(*) AS devices FROM e GROUP BY o_custkey""",
+    "run_throughput": """SELECT o_orderkey, CASE WHEN o_orderstatus <> 'P' THEN round(983040 / o_totalprice, 4) END AS rank_rate, CASE WHEN o_orderstatus <> 'P' THEN round(983040 / o_totalprice * 2, 4) END AS rate FROM orders""",
     "nonfinite_streak": """WITH l AS (SELECT user_id AS run_id, row_number() OVER (PARTITION BY user_id ORDER BY ts, event_id) AS step, event_type FROM events),
         s AS (SELECT *, event_type = 'error' AS bad FROM l WHERE step > 2 AND event_type <> 'view'),
         i AS (SELECT *, sum((NOT bad)::INT) OVER (PARTITION BY run_id ORDER BY step) AS island FROM s),

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.udfs import Sentences, trimmed_mean, word_entropy
@@ -105,9 +105,10 @@ def udtf(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def win_hot_keys(spark: SparkSession, sf_dir: str) -> DataFrame:
-    w = Window.partitionBy("event_type")
+    """Shares of few large groups: totals are summed before the shuffle and joined, so no task sorts a group."""
     counts = table(spark, sf_dir, "events").groupBy("event_type", "user_id").agg(F.count(F.lit(1)).alias("n"))
-    return counts.withColumn("share", F.round(F.col("n") / F.sum("n").over(w), 6))
+    totals = counts.groupBy("event_type").agg(F.sum("n").alias("total"))
+    return counts.join(totals, "event_type").select("event_type", "user_id", "n", F.round(F.col("n") / F.col("total"), 6).alias("share"))
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
