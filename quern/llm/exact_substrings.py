@@ -17,8 +17,9 @@ from .common import settle, small_batches
 from .suffixes import permuted_common_prefixes, suffix_array
 from .words import mix, text_bytes
 
-#: Bytes of the grams whose least hash anchors a window.
-GRAM = 16
+#: Bytes of the grams whose least hash anchors a window, a multiple of 8. Shorter ones occur by chance in more documents, whose
+#: windows then are sorted in vain; longer ones leave less room to choose from, so that windows share fewer anchors.
+GRAM = 24
 _SLICE = 1 << 16
 _A, _B = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xC2B2AE3D27D4EB4F)
 
@@ -34,7 +35,7 @@ def _eights(data: np.ndarray) -> np.ndarray:
 def segments(data: np.ndarray, offsets: np.ndarray, length: int) -> dict[str, np.ndarray]:
     """Windows of `length` bytes inside the texts, joined into segments: runs of windows with the same anchor.
 
-    A window's anchor is its 16-byte gram with the least hash, the leftmost of equals, so equal windows have equal anchors
+    A window's anchor is its GRAM-byte gram with the least hash, the leftmost of equals, so equal windows have equal anchors
     wherever they lie. Returns for each segment its text, first window, number of windows, anchor hash and content hash.
     """
     parts: list[tuple[np.ndarray, ...]] = []
@@ -47,7 +48,11 @@ def segments(data: np.ndarray, offsets: np.ndarray, length: int) -> dict[str, np
         if not len(p):
             continue
         eight = _eights(np.concatenate([data[a : b + length - 1], np.zeros(8, dtype=np.uint8)]))
-        grams = mix(eight[: b - a + span - 1] * _A + eight[8 : b - a + span + 7] * _B)
+        n_grams = b - a + span - 1
+        grams = eight[:n_grams] * _A
+        for k in range(8, GRAM, 8):
+            grams = mix(grams + eight[k : k + n_grams] * _B) * _A
+        grams = mix(grams)
         key = (grams >> np.uint64(32)) << np.uint64(32) | np.arange(len(grams), dtype=np.uint64)
         width = 1
         while width * 2 <= span:
@@ -220,10 +225,12 @@ def remove_repeats(
     much in its shard as there are chunks. Shards grow in number with the input, not in size. The result is written, and the
     tables that led to it are deleted.
 
-    Null text counts as empty; texts shorter than `length` keep all; rows with the same id never remove from each other; rows
+    A length below GRAM is an error. Null text counts as empty; texts shorter than `length` keep all; rows with the same id never remove from each other; rows
     with a null id keep all and remove nothing; repeated rows are reported each; an empty table gives no rows; other columns
     are left out. Hashes of 64 bits stand for the distinct segments of a shard.
     """
+    if length < GRAM:
+        raise ValueError(f"length: {length} is less than an anchor's {GRAM} bytes")
     spark = docs.sparkSession
     small_batches(spark)
     result = "id long, n_bytes long, n_removed long, spans array<struct<start:int,end:int>>, kept_sha256 string"
