@@ -5,8 +5,8 @@ from __future__ import annotations
 import numpy as np
 
 
-#: So many names are sorted bucket by bucket as they are; so short strings of names are sorted without recursion.
-FEW, SHORT = 1024, 1 << 18
+#: So many names are sorted bucket by bucket as they are.
+FEW = 1024
 
 
 def classify(s: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -101,27 +101,13 @@ def _pieces(s: np.ndarray, lms: np.ndarray) -> np.ndarray:
     return x ^ (ends - lms).astype(np.uint64) * np.uint64(0x94D049BB133111EB)
 
 
-def _doubled(names: np.ndarray) -> np.ndarray:
-    """Order of the suffixes of a short string of names, by doubling ranks."""
-    reach = 1
-    while names.max() + 1 < len(names):
-        follow = np.concatenate([names[reach:] + 1, np.zeros(min(reach, len(names)), dtype=np.int64)])
-        both = names * (len(names) + 1) + follow
-        order = np.argsort(both)
-        names = np.empty_like(names)
-        names[order] = np.concatenate([[0], np.cumsum(both[order][1:] != both[order][:-1])])
-        reach *= 2
-    return np.argsort(names)
-
-
 def suffix_array(s: np.ndarray, sigma: int) -> np.ndarray:
     """Suffix array of s, whose symbols are below sigma; its last symbol is its smallest and occurs once.
 
     LMS substrings are sorted by induction from the text order and named by rank. Where names repeat, the string of names is
     sorted in the same way, by recursion, and its order induces that of all suffixes. Names are half of the symbols at most, in
     texts a third. As the induction goes bucket by bucket, many names are written in two digits of some sqrt(names) values,
-    unless that would not make the string shorter. The recursion ends when no name repeats, or with SHORT names, of which
-    buckets would hold next to nothing.
+    unless that would not make the string shorter. The recursion ends when no name repeats.
     """
     small, lms = classify(s)
     if not len(lms):
@@ -138,9 +124,7 @@ def suffix_array(s: np.ndarray, sigma: int) -> np.ndarray:
     several = int(names.max()) + 1
     if several == len(names):
         return induce(s, small, lms[np.argsort(names)], sigma)
-    if len(names) <= SHORT:
-        order = _doubled(names)
-    elif several <= FEW or 2 * len(names) > 0.8 * len(s):
+    if several <= FEW or 2 * len(names) > 0.8 * len(s):
         order = suffix_array(np.append(names + 1, 0), several + 1)[1:]
     else:
         base = int(np.ceil(np.sqrt(several)))
