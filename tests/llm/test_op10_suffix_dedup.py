@@ -2,8 +2,9 @@ import hashlib
 import random
 
 import numpy as np
+import pytest
 
-from quern.llm.exact_substrings import remove_repeats
+from quern.llm.exact_substrings import GRAM, remove_repeats
 from quern.llm.queries import ORACLE_SQL, op10_suffix_dedup
 from quern.llm.suffixes import permuted_common_prefixes, suffix_array
 from tests.compare import SMALL, of_spark, oracle
@@ -95,3 +96,9 @@ def test_tables_on_the_way_are_deleted(spark):
     docs = spark.createDataFrame([(1, "x" * 80), (2, "x" * 90)], "doc_id long, text string")
     before = {t.name for t in spark.catalog.listTables()}
     assert remove_repeats(docs).count() == 2 and {t.name for t in spark.catalog.listTables()} == before
+
+
+def test_length_below_an_anchor(spark):
+    docs = spark.createDataFrame([(1, "a")], "doc_id long, text string")
+    with pytest.raises(ValueError, match="length"):
+        remove_repeats(docs, length=GRAM - 1)
