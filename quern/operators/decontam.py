@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.strings import word_ngrams
@@ -32,6 +32,32 @@ def contaminated(docs: DataFrame, protected: DataFrame, id_col: str = "doc_id",
     return ngrams(docs, id_col, text, n).join(guard, "gram", "left_semi").groupBy(id_col).agg(F.count(F.lit(1)).alias("n_shared"))
 
 
+def calibrated_threshold(negatives: DataFrame, first: str, second: str, rate: float, cells: int = 10_000) -> float:
+    """The least cosine, in steps of 1 / cells, that at most a share `rate` of known negatives reaches: a threshold for similarity_screen.
+
+    Each row of `negatives` holds two vectors known not to be near. Their cosines are counted by step, so that at most
+    2 * cells + 1 counts leave the cluster. A vector of zeros has a cosine of 0. Rows with a null vector or element,
+    without a finite norm, or with vectors of different lengths are not counted; where none is left that is an error.
+    """
+    if not 0 <= rate < 1:
+        raise ValueError("rate must be at least 0 and below 1")
+
+    def dot(x: str, y: str) -> Column:
+        products = F.zip_with(x, y, lambda a, b: a.cast("double") * b.cast("double"))
+        return F.aggregate(products, F.lit(0.0), lambda total, one: total + one)
+
+    norms = F.sqrt(dot(first, first)) * F.sqrt(dot(second, second))
+    cosine = F.when(norms == 0, 0.0).otherwise(F.nanvl(dot(first, second) / norms, F.lit(None).cast("double")))
+    step = F.floor(F.when(cosine > 1, 1.0).otherwise(cosine) * cells)
+    counts = negatives.filter(F.size(first) == F.size(second)).select(step.alias("step")).filter("step is not null").groupBy("step").count().collect()
+    least, above = rate * sum(r["count"] for r in counts), 0
+    for r in sorted(counts, reverse=True):
+        above += r["count"]
+        if above > least:
+            return (r["step"] + 1) / cells
+    raise ValueError("no known negatives to calibrate on")
+
+
 def similarity_screen(vectors: DataFrame, protected: DataFrame, threshold: float, id_col: str = "vec_id", vector: str = "embedding", block_rows: int = 2048) -> DataFrame:
     """(id_col, n_near): rows with protected vectors at a cosine of at least `threshold`, a calibrated parameter.
 

@@ -122,6 +122,15 @@ def embed_screen(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontam.similarity_screen(v, v.filter("label = 0"), 0.35)
 
 
+def embed_calibrated(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Vectors near those of label 0, at the cosine that 1 % of the neighbours by id with different labels reach."""
+    v = table(spark, sf_dir, "embeddings")
+    after = v.select((F.col("vec_id") - 1).alias("vec_id"), F.col("embedding").alias("other"), F.col("label").alias("other_label"))
+    apart = v.join(after, "vec_id").filter("label <> other_label")
+    least = decontam.calibrated_threshold(apart, "embedding", "other", 0.01)
+    return decontam.similarity_screen(v, v.filter("label = 0"), least).withColumn("threshold", F.lit(least))
+
+
 def chunk_words(spark: SparkSession, sf_dir: str) -> DataFrame:
     return chunking.chunk_words(spread(table(spark, sf_dir, "documents"))).select("doc_id", "chunk_ix", F.md5("chunk_text").alias("chunk_hash"), "n_words")
 
@@ -348,7 +357,7 @@ QUERIES = {
     f.__name__: f
     for f in (
         smoke_sft, smoke_skip_counts, chatml_render, mask_coverage, think_history, probe_greedy, pack_bins, nonfinite_streak, length_histogram, drop_overlength, rule_floors, rule_survival,
-        lang_toxic_filter, license_filter, exact_dedup, minhash_signature, lsh_candidates, near_dup_pairs, decontam_13gram, embed_screen, chunk_words, chunk_paragraphs, holdout_split,
+        lang_toxic_filter, license_filter, exact_dedup, minhash_signature, lsh_candidates, near_dup_pairs, decontam_13gram, embed_screen, embed_calibrated, chunk_words, chunk_paragraphs, holdout_split,
         mix_quota, mix_shares, citation_fuzzy, judge_pass, audit_rate, win_rate, survival, budget_admit, latest_status, outstanding_work, batch_requests, retention, run_overlay,
         snapshot_sources, page_ingest, provenance_join, grounded_only, hallucination_rate, source_audit, paired_eval, builder_gates, reasoning_share, assembled_set,
         probe_first, jsonl_round_trip, judge_panel, citation_scope, decision_gate, run_budget, mode_requests, decontam_quotable, win_rate_orders, device_report, run_throughput,
@@ -446,6 +455,11 @@ ORACLE_SQL = {
         SELECT doc_id, count(*) AS n_shared FROM d WHERE g IN (SELECT g FROM p) GROUP BY doc_id""",
     "embed_screen": """SELECT v.vec_id, count(*) AS n_near FROM embeddings v JOIN embeddings p ON p.label = 0 AND p.vec_id <> v.vec_id
         WHERE list_cosine_similarity(v.embedding::DOUBLE[], p.embedding::DOUBLE[]) >= 0.35 GROUP BY v.vec_id""",
+    "embed_calibrated": """WITH e AS (SELECT vec_id, label, embedding::DOUBLE[] AS x FROM embeddings),
+        n AS (SELECT floor(10000 * list_cosine_similarity(a.x, b.x)) AS g FROM e a JOIN e b ON b.vec_id = a.vec_id + 1 AND a.label <> b.label),
+        t AS (SELECT min(g) AS g FROM (SELECT DISTINCT g + 1 AS g FROM n) s WHERE (SELECT count(*) FROM n WHERE n.g >= s.g) <= 0.01 * (SELECT count(*) FROM n))
+        SELECT v.vec_id, count(*) AS n_near, any_value(t.g / 10000::DOUBLE) AS threshold FROM e v JOIN e p ON p.label = 0 AND p.vec_id <> v.vec_id, t
+        WHERE list_cosine_similarity(v.x, p.x) >= t.g / 10000::DOUBLE GROUP BY v.vec_id""",
     "chunk_words": f"""WITH w AS (SELECT doc_id, {_WORDS} AS w FROM documents)
         SELECT doc_id, i AS chunk_ix, md5(array_to_string(w[i * 256 + 1:i * 256 + 256], ' ')) AS chunk_hash, len(w[i * 256 + 1:i * 256 + 256]) AS n_words
         FROM w, unnest(range(CAST(ceil(len(w) / 256) AS BIGINT))) t(i)""",

@@ -1,3 +1,5 @@
+import math
+
 import pytest
 from pyspark.sql import functions as F
 
@@ -114,6 +116,21 @@ def test_dedup_and_decontamination(spark):
     assert {r.vec_id: r.n_near for r in decontam.similarity_screen(v, v.filter("vec_id = 1"), 0.9).collect()} == {2: 1}
 
 
+def test_calibrated_threshold(spark):
+    rows = [([1.0, 0.0], [math.cos(k / 100), math.sin(k / 100)]) for k in range(1, 101)]
+    rest = [(None, [1.0]), ([1.0, None], [1.0, 0.0]), ([1.0], [1.0, 0.0]), ([math.nan, 1.0], [1.0, 1.0]), ([math.inf, 1.0], [1.0, 1.0])]
+    apart = spark.createDataFrame(rows + rest, "a array<double>, b array<double>")
+    for rate in (0.0, 0.05, 0.5, 0.99):
+        t = decontam.calibrated_threshold(apart, "a", "b", rate)
+        reach = lambda x: sum(math.cos(k / 100) >= x for k in range(1, 101))
+        assert reach(t) <= 100 * rate < reach(t - 1e-4)
+    zeros = spark.createDataFrame([([0.0], [1.0])] * 3, apart.schema)
+    assert decontam.calibrated_threshold(zeros, "a", "b", 0.1) == 1e-4
+    for bad, rate in ((apart.limit(0), 0.1), (spark.createDataFrame(rest, apart.schema), 0.1), (apart, 1.0)):
+        with pytest.raises(ValueError):
+            decontam.calibrated_threshold(bad, "a", "b", rate)
+
+
 def test_citations(spark):
     c = spark.createDataFrame([(1, "IPC 302"), (1, "CrPC 41"), (2, "IPC 3O2"), (3, "XYZ 1"), (3, None)], "example_id int, citation string")
     corpus = spark.createDataFrame([("IPC 302",), ("CrPC 41",)], "citation string")
