@@ -116,6 +116,21 @@ def test_dedup_and_decontamination(spark):
     assert {r.vec_id: r.n_near for r in decontam.similarity_screen(v, v.filter("vec_id = 1"), 0.9).collect()} == {2: 1}
 
 
+def test_pairs_that_cannot_be_near_are_passed_over_before_sets_are_fetched(spark, monkeypatch):
+    """Sets that share bands but differ in size or in words leave no candidate pair; near ones of any size stay."""
+    w = lambda a, b: " ".join(f"w{i}" for i in range(a, b))
+    texts = [w(0, 1500), w(0, 2100), w(0, 1450) + " x y", w(0, 700) + " " + w(3000, 3800), w(0, 30), w(0, 31), w(0, 30) + " W1", None, " \t\x0b"]
+    d = spark.createDataFrame([*enumerate(texts), (None, w(0, 30)), (4, w(9000, 9030))], "doc_id long, text string")
+    seen, settled = {}, dedup.settled
+    monkeypatch.setattr(dedup, "settled", lambda df, label: seen.setdefault(label, settled(df, label)))
+    got = {(r.a, r.b): r.jaccard for r in dedup.near_firsts(d).collect()}
+    sets = {i: set(t.lower().split()) for i, t in enumerate(texts) if t and t.split()}
+    near = {(a, b): j for a in sets for b in sets if a < b and (j := len(sets[a] & sets[b]) / len(sets[a] | sets[b])) >= 0.8}
+    assert {(0, 2), (4, 5)} <= got.keys() <= near.keys() and all(abs(j - near[p]) < 1e-9 for p, j in got.items()) and got[4, 6] == 1.0
+    assert {(r.a, r.b) for r in dedup.candidates(d.select("doc_id", dedup.signature(F.col("text")).alias("sig"))).collect()} > got.keys()
+    assert seen["pairs"].count() == 2
+
+
 def test_calibrated_threshold(spark):
     rows = [([1.0, 0.0], [math.cos(k / 100), math.sin(k / 100)]) for k in range(1, 101)]
     rest = [(None, [1.0]), ([1.0, None], [1.0, 0.0]), ([1.0], [1.0, 0.0]), ([math.nan, 1.0], [1.0, 1.0]), ([math.inf, 1.0], [1.0, 1.0])]
