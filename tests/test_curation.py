@@ -131,6 +131,21 @@ def test_pairs_that_cannot_be_near_are_passed_over_before_sets_are_fetched(spark
     assert seen["pairs"].count() == 2
 
 
+def test_candidates_by_brute_force(spark):
+    """All pairs that share a band, once each: with keys in blocks, and with an id on several rows."""
+    rows = [(i % 90, [f"{(i * p) % m:08x}" for p, m in ((7, 3), (1, 2), (5, 11), (3, 13), (1, 40), (1, 7), (1, 97), (1, 89))]) for i in range(100)]
+    want = {(min(a, b), max(a, b)) for a, s in rows for b, t in rows if a != b and any(s[k : k + 2] == t[k : k + 2] for k in (0, 2, 4, 6))}
+    for some in (rows, rows[:90]):
+        d = spark.createDataFrame(some, "doc_id long, sig array<string>")
+        ids = {i for i, _ in some}
+        own = want if some is rows else {(a, b) for a, s in some for b, t in some if a < b and any(s[k : k + 2] == t[k : k + 2] for k in (0, 2, 4, 6))}
+        for block in (4, 4096):
+            out = dedup.candidates(d, block_rows=block)
+            assert sorted(map(tuple, out.collect())) == sorted(own) and len(ids) == 90
+    plan = dedup.candidates(spark.createDataFrame(rows[:90], "doc_id long, sig array<string>"))._jdf.queryExecution().optimizedPlan().toString()
+    assert "Aggregate" not in plan
+
+
 def test_calibrated_threshold(spark):
     rows = [([1.0, 0.0], [math.cos(k / 100), math.sin(k / 100)]) for k in range(1, 101)]
     rest = [(None, [1.0]), ([1.0, None], [1.0, 0.0]), ([1.0], [1.0, 0.0]), ([math.nan, 1.0], [1.0, 1.0]), ([math.inf, 1.0], [1.0, 1.0])]
