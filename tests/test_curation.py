@@ -233,6 +233,18 @@ def test_assembly(spark):
     assert assembly.sampled_rate(d, F.col("text") == "a", 200).first() == (2, 0.5)
 
 
+def test_assembly_fetches_the_sets_of_near_copies_alone(spark, monkeypatch):
+    from quern.operators import assembly
+
+    w = lambda a, b: " ".join(f"w{i}" for i in range(a, b))
+    texts = [w(0, 1500), w(0, 2100), w(0, 1450) + " x y", w(0, 700) + " " + w(3000, 3800), w(0, 1500).upper(), None]
+    d = spark.createDataFrame([*enumerate(texts)], "doc_id long, text string")
+    seen, settled = {}, dedup.settled
+    monkeypatch.setattr(dedup, "settled", lambda df, label: seen.setdefault(label, settled(df, label)))
+    assert sorted(r.doc_id for r in assembly.without_near_copies(d).collect()) == [0, 1, 3, 5]
+    assert seen["sets"].count() == 2
+
+
 def test_pluggable_judge(spark):
     def scorer(batch):
         rows = [(i, c, 5 if "good" in t else 1) for i, t in zip(batch["example_id"], batch["text"]) for c in ("clarity", "truth")]
